@@ -155,3 +155,11 @@ def order_table_changelog(lines: DataFrame, order: list[str] | None = None) -> D
         .otherwise(0.0)
         .alias("live_quantity"),
     )
+
+
+def merge_order_rows(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Flat form of merging two order records per key: the first's infos, then
+    the second's, repeats dropped. Only keys of the first take part (a missing
+    second leaves the first as it is)."""
+    first_keys = first.select(*KEYS).distinct()
+    return first.unionByName(second.join(first_keys, KEYS, "left_semi")).dropDuplicates(KEYS + INFO_FIELDS)
