@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from stockcast.functions.dates import CALENDAR_DAYS, PERIOD_DAYS, day_offset, readable_time
 from stockcast.operators import orders as O
 from stockcast.operators import projection as P
+from stockcast.operators import replay as R
 from stockcast.operators import stocks as S
 from stockcast.plans import oracle as Q
 from stockcast.schemas import DEFAULT_DAYS, INFO_FIELDS, KEYS
@@ -292,6 +293,115 @@ def projection_lines(spark, sf_dir):
     return _snapshot(spark, sf_dir).where(F.col("has_orders")).drop("has_orders")
 
 
+# ---------------------------------------------------------------- replay
+
+_PD_STOCK = Q.period_days("CAST(checked_at AS DATE)", "CAST(deliver_at AS DATE)")
+_PD_ORDER = Q.period_days("CAST(s_checked AS DATE)", "CAST(deliver_at AS DATE)")
+_REPLAY_CTES = (
+    Q.LINES,
+    Q.STOCK,
+    Q.fold_states("lines", "f"),
+    f"""se AS (
+  SELECT s.store, s.product, s.arrived_at, s.checked_at, s.quantity,
+         coalesce((SELECT max(rn) FROM f WHERE f.store=s.store AND f.product=s.product
+                   AND f.created_at < s.arrived_at), 0) AS pos
+  FROM stock s)""",
+    """ses AS (SELECT se.*, f.occ, f.lastempty FROM se LEFT JOIN f
+           ON f.store=se.store AND f.product=se.product AND f.rn=se.pos)""",
+    """se_live AS (
+  SELECT DISTINCT ses.store, ses.product, ses.arrived_at, ses.checked_at,
+         b.quantity, b.order_id, b.created_at, b.deliver_at, b.status
+  FROM ses JOIN f b ON b.store=ses.store AND b.product=ses.product AND ses.occ=1
+   AND b.rn > ses.lastempty AND b.rn <= ses.pos)""",
+    f"""se_off AS (SELECT store, product, arrived_at, checked_at, quantity AS q, {_PD_STOCK} AS o FROM se_live)""",
+    f"""on_stock AS (
+  SELECT se.store, se.product, 'on_stock' AS branch, epoch_ms(se.arrived_at) AS event_at_ms,
+         CAST(NULL AS BIGINT) AS order_id, CAST(NULL AS INTEGER) AS line_no,
+         epoch_ms(se.checked_at) AS stock_checked_at_ms, se.quantity AS current_quantity,
+         CAST(dd.day AS INTEGER) AS day, sl.slice,
+         se.quantity - coalesce((SELECT sum(q) FROM se_off x WHERE x.store=se.store AND x.product=se.product
+              AND x.arrived_at=se.arrived_at AND x.checked_at=se.checked_at AND x.o BETWEEN 0 AND dd.day-1), 0.0) AS quantity
+  FROM se CROSS JOIN {Q.day_values(DAYS)} CROSS JOIN {Q.SLICE_VALUES})""",
+    """ns AS (
+  SELECT f.store, f.product, f.rn, s.checked_at, s.quantity,
+         row_number() OVER (PARTITION BY f.store, f.product, f.rn
+                            ORDER BY s.checked_at DESC, s.arrived_at DESC, s.quantity DESC) AS k
+  FROM f JOIN stock s ON s.store=f.store AND s.product=f.product AND s.arrived_at <= f.created_at)""",
+    """oe AS (SELECT f.*, ns.checked_at AS s_checked, ns.quantity AS s_qty FROM f JOIN ns
+          ON ns.store=f.store AND ns.product=f.product AND ns.rn=f.rn AND ns.k=1)""",
+    """oe_live AS (
+  SELECT DISTINCT oe.store, oe.product, oe.rn, oe.s_checked, b.quantity, b.order_id, b.created_at, b.deliver_at, b.status
+  FROM oe JOIN f b ON b.store=oe.store AND b.product=oe.product
+   AND ((oe.occ=1 AND b.rn > oe.lastempty AND b.rn <= oe.rn) OR (oe.occ=0 AND b.rn=oe.rn)))""",
+    f"""oe_off AS (SELECT store, product, rn, quantity AS q, {_PD_ORDER} AS o FROM oe_live)""",
+    f"""on_order AS (
+  SELECT oe.store, oe.product, 'on_order' AS branch, epoch_ms(oe.created_at) AS event_at_ms,
+         oe.order_id, oe.line_no, epoch_ms(oe.s_checked) AS stock_checked_at_ms, oe.s_qty AS current_quantity,
+         CAST(dd.day AS INTEGER) AS day, sl.slice,
+         oe.s_qty - coalesce((SELECT sum(q) FROM oe_off x WHERE x.store=oe.store AND x.product=oe.product
+              AND x.rn=oe.rn AND x.o BETWEEN 0 AND dd.day-1), 0.0) AS quantity
+  FROM oe CROSS JOIN {Q.day_values(DAYS)} CROSS JOIN {Q.SLICE_VALUES})""",
+)
+
+
+def _replay(spark, sf_dir, branches):
+    lines, stock = _inputs(spark, sf_dir)
+    r = R.replay_projections(lines, stock, DAYS, branches=branches)
+    return r.select(
+        *KEYS,
+        "branch",
+        ms("event_at"),
+        "order_id",
+        "line_no",
+        ms("stock_checked_at"),
+        "current_quantity",
+        "day",
+        "slice",
+        "quantity",
+    )
+
+
+@register("project_on_stock", Q.with_(*_REPLAY_CTES) + "SELECT * FROM on_stock")
+def project_on_stock(spark, sf_dir):
+    """Every stock check projected against the order table as it stood then."""
+    return _replay(spark, sf_dir, (R.ON_STOCK,))
+
+
+@register("project_on_order", Q.with_(*_REPLAY_CTES) + "SELECT * FROM on_order")
+def project_on_order(spark, sf_dir):
+    """Every order line (with a stock check before it) projected against the
+    newest check, with the table read after the line's own update."""
+    return _replay(spark, sf_dir, (R.ON_ORDER,))
+
+
+@register(
+    "projections_merged", Q.with_(*_REPLAY_CTES) + "SELECT * FROM on_stock UNION ALL SELECT * FROM on_order"
+)
+def projections_merged(spark, sf_dir):
+    """Both projection streams merged into one (duplicates kept)."""
+    return _replay(spark, sf_dir, (R.ON_STOCK, R.ON_ORDER))
+
+
+@register(
+    "order_merged_with_table",
+    Q.with_(Q.LINES, Q.fold_states("lines", "f"))
+    + f"""
+, pairs AS (
+  SELECT DISTINCT a.store, a.product, a.rn, b.quantity, b.order_id, b.created_at, b.deliver_at, b.status
+  FROM f a JOIN f b ON a.store=b.store AND a.product=b.product
+   AND ((a.occ=1 AND b.rn > a.lastempty AND b.rn <= a.rn) OR (a.occ=0 AND b.rn = a.rn))),
+agg AS (SELECT store, product, rn, count(*) AS n, sum(quantity) AS q FROM pairs GROUP BY store, product, rn)
+SELECT f.store, f.product, {INFO_FLAT_SQL}, f.line_no, agg.n AS merged_count, agg.q AS merged_quantity
+FROM f JOIN agg ON f.store=agg.store AND f.product=agg.product AND f.rn=agg.rn""",
+)
+def order_merged_with_table(spark, sf_dir):
+    lines, _ = _inputs(spark, sf_dir)
+    m = R.merged_with_table(lines)
+    return m.select(
+        *KEYS, *info_flat(), "line_no", F.col("merged_count").cast("long").alias("merged_count"), "merged_quantity"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.run for k, q in REGISTRY.items()}
 
