@@ -105,16 +105,19 @@ def annotate_fold(lines: DataFrame, order: list[str] | None = None) -> DataFrame
     return spans.withColumn("first_in_span", F.row_number().over(first) == 1)
 
 
-def order_table_rows(lines: DataFrame, order: list[str] | None = None) -> DataFrame:
+def order_table_rows(lines: DataFrame, order: list[str] | None = None, with_rank: bool = False) -> DataFrame:
     """The live infos of the order table after all lines: one row per distinct
-    info, flat (store, product, quantity, order_id, created_at, deliver_at, status)."""
+    info, flat (store, product, quantity, order_id, created_at, deliver_at,
+    status), plus ``rn`` (arrival rank of its first occurrence) if asked.
+
+    Rows after the key's last unoccupied row form its current life span; the
+    first occurrence of each info there is the live set."""
     folded = annotate_fold(lines, order)
     last_empty = F.max(F.when(~F.col("occupied"), F.col("rn")).otherwise(0)).over(Window.partitionBy(*KEYS))
     return (
         folded.withColumn("last_empty", last_empty)
-        .where(F.col("rn") > F.col("last_empty"))
-        .select(*KEYS, *INFO_FIELDS)
-        .dropDuplicates(KEYS + INFO_FIELDS)
+        .where((F.col("rn") > F.col("last_empty")) & F.col("first_in_span"))
+        .select(*KEYS, *INFO_FIELDS, *(["rn"] if with_rank else []))
     )
 
 

@@ -107,6 +107,45 @@ def project_snapshot(
     )
 
 
+def project_snapshot_records(
+    stock_tbl: DataFrame,
+    live_rows: DataFrame,
+    days: int,
+    mode: str = PERIOD_DAYS,
+    created_at: Column | None = None,
+) -> DataFrame:
+    """The snapshot as projection records: store, product, projection struct
+    (store, product, created_at, current_quantity, lines), one per stock key."""
+    days = check_days(days)
+    cum = F.coalesce(F.col("cumulated"), F.array_repeat(F.lit(0.0), days))
+    qty = F.col("quantity")
+    lines = F.flatten(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(days - 1)),
+            lambda d: F.array(
+                *[
+                    F.struct((d + 1).alias("day"), F.lit(s).alias("slice"), (qty - cum[d]).alias("quantity"))
+                    for s in SLICES
+                ]
+            ),
+        )
+    )
+    created = created_at if created_at is not None else F.current_timestamp()
+    return (
+        stock_tbl.join(cumulative_demand(live_rows, stock_tbl, days, mode), KEYS, "left")
+        .select(
+            *KEYS,
+            F.struct(
+                "store",
+                "product",
+                created.alias("created_at"),
+                qty.alias("current_quantity"),
+                lines.alias("lines"),
+            ).alias("projection"),
+        )
+    )
+
+
 # ---- nested form: one projection record computed inside a row ----
 
 

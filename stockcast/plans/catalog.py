@@ -19,9 +19,13 @@ from stockcast.operators import orders as O
 from stockcast.operators import projection as P
 from stockcast.operators import replay as R
 from stockcast.operators import stocks as S
+from stockcast.operators import views as V
+from stockcast.functions import codec as C
+from stockcast.functions import text as TX
+from stockcast.sources import streams as ST
 from stockcast.plans import oracle as Q
 from stockcast.schemas import DEFAULT_DAYS, INFO_FIELDS, KEYS
-from stockcast.session import use_utc
+from stockcast.session import scratch_path, use_utc
 from stockcast.sources import tables
 
 DAYS = DEFAULT_DAYS
@@ -402,6 +406,280 @@ def order_merged_with_table(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------- codec and keys
+
+_STOCK_KEY_SQL = """'{"store":"' || store || '","product":"' || product || '"}'"""
+_STOCK_VALUE_SQL = (
+    """'{"store":"' || store || '","product":"' || product || '","checkedAt":' || CAST(epoch_ms(checked_at) AS VARCHAR)"""
+    """ || ',"quantity":' || CAST(quantity AS VARCHAR) || '}'"""
+)
+_ORDER_KEY_SQL = """'{"orderId":"' || CAST(order_id AS VARCHAR) || '"}'"""
+_ORDERS_JSON_CTE = """order_json AS (
+  SELECT order_id, '{"orderId":"' || CAST(order_id AS VARCHAR) || '","store":"' || store || '","createdAt":'
+         || CAST(epoch_ms(created_at) AS VARCHAR) || ',"items":['
+         || string_agg('{"product":"' || product || '","quantity":' || CAST(quantity AS VARCHAR) || '}', ','
+                       ORDER BY line_no, product, quantity)
+         || '],"deliverAt":' || CAST(epoch_ms(deliver_at) AS VARCHAR) || ',"status":"' || status || '"}' AS value
+  FROM lines GROUP BY order_id, store, created_at, deliver_at, status)"""
+
+
+def _stock_payloads(spark, sf_dir):
+    _, stock = _inputs(spark, sf_dir)
+    return stock.select(C.stock_key_json().alias("key"), C.stock_value_json().alias("value"))
+
+
+def _order_payloads(spark, sf_dir):
+    use_utc(spark)
+    orders = tables.orders_nested(spark, sf_dir)
+    return orders.select(C.order_key_json().alias("key"), C.order_value_json().alias("value"))
+
+
+_STOCK_DECODED_SQL = "SELECT store, product, epoch_ms(checked_at) AS checked_at_ms, quantity FROM stock"
+_ORDER_DECODED_SQL = (
+    "SELECT CAST(order_id AS VARCHAR) AS order_id, store, product, quantity, "
+    "epoch_ms(created_at) AS created_at_ms, epoch_ms(deliver_at) AS deliver_at_ms, status FROM lines"
+)
+
+
+def _flat_decoded_orders(orders):
+    return O.explode_lines(orders).select(
+        "order_id", *KEYS, "quantity", ms("created_at"), ms("deliver_at"), "status"
+    )
+
+
+@register("json_decode_stock", Q.with_(Q.STOCK) + _STOCK_DECODED_SQL)
+def json_decode_stock(spark, sf_dir):
+    """Stock checks → JSON payloads → decoded back (epoch ms → instants)."""
+    good, _ = codec_split(_stock_payloads(spark, sf_dir), C.decode_stock("value"))
+    return good.select(*KEYS, ms("checked_at"), "quantity")
+
+
+@register("json_decode_order", Q.with_(Q.LINES) + _ORDER_DECODED_SQL)
+def json_decode_order(spark, sf_dir):
+    """Orders → JSON payloads with nested items → decoded, items flattened."""
+    good, _ = codec_split(_order_payloads(spark, sf_dir), C.decode_order("value"))
+    return _flat_decoded_orders(good)
+
+
+def codec_split(df, decoded):
+    return C.split_decoded(df, decoded)
+
+
+@register(
+    "keyed_stock_payload",
+    Q.with_(Q.STOCK) + f"SELECT {_STOCK_KEY_SQL} AS key, {_STOCK_VALUE_SQL} AS value FROM stock",
+)
+def keyed_stock_payload(spark, sf_dir):
+    """Producer side: each stock payload with its key derived from the payload."""
+    payloads = _stock_payloads(spark, sf_dir).select("value")
+    return payloads.select(C.key_from_stock_payload("value").alias("key"), "value")
+
+
+@register(
+    "keyed_order_payload",
+    Q.with_(Q.LINES, _ORDERS_JSON_CTE) + f"SELECT {_ORDER_KEY_SQL} AS key, value FROM order_json",
+)
+def keyed_order_payload(spark, sf_dir):
+    payloads = _order_payloads(spark, sf_dir).select("value")
+    return payloads.select(C.key_from_order_payload("value").alias("key"), "value")
+
+
+@register(
+    "keyed_payload_routed",
+    Q.with_(Q.LINES, Q.STOCK, _ORDERS_JSON_CTE)
+    + f"""SELECT 'stock-stream' AS topic, {_STOCK_KEY_SQL} AS key, {_STOCK_VALUE_SQL} AS value FROM stock
+UNION ALL SELECT 'order-stream', {_ORDER_KEY_SQL}, value FROM order_json
+UNION ALL SELECT 'input', CAST(NULL AS VARCHAR), trim(props) FROM events""",
+)
+def keyed_payload_routed(spark, sf_dir):
+    """Payloads of several topics keyed by the rule of their topic; records of
+    an unknown topic (here the raw event topic) get no key (reject output)."""
+    raw = (
+        _stock_payloads(spark, sf_dir)
+        .select(F.lit(C.STOCK_TOPIC).alias("topic"), "value")
+        .unionByName(_order_payloads(spark, sf_dir).select(F.lit(C.ORDER_TOPIC).alias("topic"), "value"))
+        .unionByName(tables.read_table(spark, sf_dir, "events").select(F.lit("input").alias("topic"), F.col("props").alias("value")))
+    )
+    keyed, rejected = C.keyed_records(raw)
+    return keyed.unionByName(rejected.withColumn("key", F.lit(None).cast("string")))
+
+
+@register(
+    "projection_sink_json",
+    Q.with_(*_SNAP_CTES, _OFFSETS, _CUM)
+    + """SELECT '{"store":"' || s.store || '","product":"' || s.product || '"}' AS key, """
+    + _SNAP_SELECT.removeprefix("SELECT "),
+)
+def projection_sink_json(spark, sf_dir):
+    """Snapshot projections written as (key JSON, value JSON) records and read
+    back: the value carries store, product, createdAt (ms), currentQuantity and
+    the 14 lines."""
+    lines, stock = _inputs(spark, sf_dir)
+    records = P.project_snapshot_records(S.stock_table(stock), O.order_table_rows(lines), DAYS)
+    out = records.select(C.stock_key_json().alias("key"), C.projection_value_json("projection").alias("value"))
+    back = out.select("key", F.from_json("value", C.PROJECTION_JSON).alias("p"))
+    return back.select(
+        "key",
+        F.col("p.store").alias("store"),
+        F.col("p.product").alias("product"),
+        F.col("p.currentQuantity").alias("current_quantity"),
+        F.explode("p.lines").alias("l"),
+    ).select("key", *KEYS, "current_quantity", "l.day", "l.slice", "l.quantity")
+
+
+# ---------------------------------------------------------------- stream sources (file twins)
+
+
+@register("stock_source", Q.with_(Q.STOCK) + _STOCK_DECODED_SQL)
+def stock_source(spark, sf_dir):
+    """Stock topic (file twin) read as a stream to the end of its input, decoded."""
+    path = ST.publish(_stock_payloads(spark, sf_dir), scratch_path(spark, "stock-topic"), F.col("key"), F.col("value"))
+    good, _ = ST.stock_stream(ST.file_raw(spark, path))
+    return ST.drain(good, spark, "stock-source").select(*KEYS, ms("checked_at"), "quantity")
+
+
+@register("order_source", Q.with_(Q.LINES) + _ORDER_DECODED_SQL)
+def order_source(spark, sf_dir):
+    """Order topic (file twin) read as a stream, decoded, items flattened."""
+    path = ST.publish(_order_payloads(spark, sf_dir), scratch_path(spark, "order-topic"), F.col("key"), F.col("value"))
+    good, _ = ST.order_stream(ST.file_raw(spark, path))
+    return _flat_decoded_orders(ST.drain(good, spark, "order-source"))
+
+
+@register("raw_source", "SELECT CAST(user_id AS VARCHAR) AS key, props AS value FROM events")
+def raw_source(spark, sf_dir):
+    """A plain (key, value) string topic, read as a stream."""
+    events = tables.read_table(spark, sf_dir, "events")
+    path = ST.publish(events, scratch_path(spark, "raw-topic"), F.col("user_id").cast("string"), F.col("props"))
+    return ST.drain(ST.file_raw(spark, path), spark, "raw-source").select("key", "value")
+
+
+@register(
+    "multi_topic_source",
+    Q.with_(Q.LINES, Q.STOCK)
+    + f"""SELECT 'stock-stream' AS topic, {_STOCK_KEY_SQL} AS key FROM stock
+UNION ALL SELECT 'order-stream', {_ORDER_KEY_SQL} FROM (SELECT DISTINCT order_id FROM lines)""",
+)
+def multi_topic_source(spark, sf_dir):
+    """Several topics in one subscription, from the start, each record with
+    its topic and source metadata."""
+    paths = {
+        C.STOCK_TOPIC: ST.publish(
+            _stock_payloads(spark, sf_dir), scratch_path(spark, "stock-topic"), F.col("key"), F.col("value")
+        ),
+        C.ORDER_TOPIC: ST.publish(
+            _order_payloads(spark, sf_dir), scratch_path(spark, "order-topic"), F.col("key"), F.col("value")
+        ),
+    }
+    drained = ST.drain(ST.multi_topic(spark, paths), spark, "multi-topic")
+    return drained.where(F.col("file_path").isNotNull()).select("topic", "key")
+
+
+# ---------------------------------------------------------------- views, text, topics
+
+
+def _readable_sql(col: str) -> str:
+    return (
+        f"(CASE WHEN epoch_ms({col}) % 1000 <> 0 THEN strftime({col}, '%Y-%m-%dT%H:%M:%S.%g') "
+        f"WHEN second({col}) = 0 THEN strftime({col}, '%Y-%m-%dT%H:%M') ELSE strftime({col}, '%Y-%m-%dT%H:%M:%S') END)"
+    )
+
+
+@register(
+    "stock_table_view",
+    Q.with_(Q.STOCK, Q.STOCK_TABLE)
+    + f"SELECT store, product, {_readable_sql('checked_at')} AS checked_at, quantity FROM stock_table "
+    + "ORDER BY store, product LIMIT 100",
+)
+def stock_table_view(spark, sf_dir):
+    """The first 100 entries of the stock table, in (store, product) order."""
+    _, stock = _inputs(spark, sf_dir)
+    return V.stock_table_view(S.stock_table(stock))
+
+
+@register(
+    "order_table_view",
+    Q.with_(Q.LINES, Q.fold_states("lines", "f"))
+    + f""", firsts AS (
+  SELECT store, product, rn, {Q.INFO} FROM (
+    SELECT *, max(CASE WHEN occ=0 THEN rn ELSE 0 END) OVER (PARTITION BY store,product) AS le,
+           row_number() OVER (PARTITION BY store,product,quantity,order_id,created_at,deliver_at,status ORDER BY rn) AS k
+    FROM f) WHERE rn > le AND k = 1),
+keys AS (SELECT DISTINCT store, product FROM firsts ORDER BY store, product LIMIT 100)
+SELECT store, product,
+       string_agg(CAST(order_id AS VARCHAR) || ' => ' || CAST(quantity AS VARCHAR) || ' (' || status || ' - '
+                  || {_readable_sql('created_at')} || ')', chr(10) ORDER BY rn) AS info
+FROM firsts JOIN keys USING (store, product) GROUP BY store, product""",
+)
+def order_table_view(spark, sf_dir):
+    """The first 100 keys of the order table, infos rendered as text lines."""
+    lines, _ = _inputs(spark, sf_dir)
+    return V.order_table_view(O.order_table_rows(lines, with_rank=True))
+
+
+_UTF16_SQL = r"(length(text) + length(regexp_replace(text, '[^\x{10000}-\x{10FFFF}]', '', 'g')))"
+
+
+@register(
+    "map_values_size_content",
+    f"""SELECT doc_id, '{{"size": ' || CAST({_UTF16_SQL} AS VARCHAR) || ', "content": "' || text || '"}}' AS value
+FROM documents""",
+)
+def map_values_size_content(spark, sf_dir):
+    """Each text value rewritten as ``{"size": n, "content": "..."}`` (whole texts)."""
+    docs = tables.read_table(spark, sf_dir, "documents")
+    return docs.select("doc_id", TX.size_content("text").alias("value"))
+
+
+def _topic_of_event():
+    return F.element_at(F.array(*[F.lit(t) for t in V.ALL_TOPICS]), (F.col("user_id") % len(V.ALL_TOPICS) + 1).cast("int"))
+
+
+_TOPIC_CASE = "CASE user_id % 6 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(V.ALL_TOPICS)) + " END"
+_KIND_CASE = "CASE topic " + " ".join(f"WHEN '{t}' THEN '{k}'" for t, k in V.TOPIC_KINDS.items()) + " END"
+
+
+@register(
+    "categorize_topics",
+    f"SELECT topic, {_KIND_CASE} AS kind, count(*) AS records FROM (SELECT {_TOPIC_CASE} AS topic FROM events) GROUP BY topic",
+)
+def categorize_topics(spark, sf_dir):
+    """Records of the service's topics counted per topic with its kind
+    (events spread over the six topics by user)."""
+    events = tables.read_table(spark, sf_dir, "events").select(_topic_of_event().alias("topic"))
+    return V.categorize(events)
+
+
+@register(
+    "dual_union",
+    "SELECT event_id, user_id, 'left' AS side FROM events WHERE event_type='view' "
+    "UNION ALL SELECT event_id, user_id, 'right' AS side FROM events WHERE event_type='click'",
+)
+def dual_union(spark, sf_dir):
+    """Two-input operation as a merge: view events and click events, one stream."""
+    ev = tables.read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    left = ev.where(F.col("event_type") == "view").drop("event_type")
+    right = ev.where(F.col("event_type") == "click").drop("event_type")
+    return V.dual_union(left, right)
+
+
+@register(
+    "dual_asof_join",
+    """SELECT c.event_id, c.user_id,
+       (SELECT v.event_id FROM events v WHERE v.event_type='view' AND v.user_id=c.user_id AND v.ts <= c.ts
+        ORDER BY v.ts DESC LIMIT 1) AS right_event_id
+FROM events c WHERE c.event_type='click'""",
+)
+def dual_asof_join(spark, sf_dir):
+    """Two-input operation as a keyed as-of left join: each click with the
+    user's latest view at or before it."""
+    ev = tables.read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    clicks = ev.where(F.col("event_type") == "click").select("event_id", "user_id", "ts")
+    views = ev.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")
+    j = V.asof_left_join(clicks, views, "user_id", "ts", ["event_id"])
+    return j.select("event_id", "user_id", F.col("right_event_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.run for k, q in REGISTRY.items()}
 
