@@ -157,15 +157,15 @@ def projection_lines_expr(
     ``info`` may be NULL (no order state): the stock is projected flat.
     """
     days = check_days(days)
-    infos = F.coalesce(info, F.array().cast("array<struct<quantity:double,deliver_at:timestamp>>"))
 
     def remaining(d: Column) -> Column:
         due = F.filter(
-            infos,
+            info,
             lambda i: (day_offset(stock_date, F.to_date(i["deliver_at"]), mode) >= 0)
             & (day_offset(stock_date, F.to_date(i["deliver_at"]), mode) <= d - 1),
         )
-        return stock_quantity - F.aggregate(due, F.lit(0.0), lambda acc, i: acc + i["quantity"])
+        # a NULL info array (no order state) sums to nothing
+        return stock_quantity - F.coalesce(F.aggregate(due, F.lit(0.0), lambda acc, i: acc + i["quantity"]), F.lit(0.0))
 
     per_day = F.transform(F.sequence(F.lit(1), F.lit(days)), lambda d: F.struct(d.alias("day"), remaining(d).alias("q")))
     return F.flatten(

@@ -23,6 +23,7 @@ from stockcast.operators import views as V
 from stockcast.functions import codec as C
 from stockcast.functions import text as TX
 from stockcast.sources import streams as ST
+from stockcast.streaming import service as SV
 from stockcast.plans import oracle as Q
 from stockcast.schemas import DEFAULT_DAYS, INFO_FIELDS, KEYS
 from stockcast.session import scratch_path, use_utc
@@ -680,6 +681,37 @@ def dual_asof_join(spark, sf_dir):
     return j.select("event_id", "user_id", F.col("right_event_id"))
 
 
+# ---------------------------------------------------------------- streaming
+
+
+def stream_projection_of(spark, lines, stock, days=DAYS, max_files_per_trigger=None, name="stream-projection"):
+    """Run the streaming service over inputs dropped as Parquet files in the
+    shared checkpoint folder; return the flat projection lines it emitted."""
+    base = scratch_path(spark, name)
+    lines.write.mode("overwrite").parquet(f"{base}/lines")
+    stock.write.mode("overwrite").parquet(f"{base}/stock")
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    line_stream = reader.schema(lines.schema).parquet(f"{base}/lines")
+    stock_stream = reader.schema(stock.schema).parquet(f"{base}/stock")
+    proj = SV.projection_stream(line_stream, stock_stream, days)
+    SV.run(proj, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return SV.flat_lines(spark.read.parquet(f"{base}/out"))
+
+
+@register("stream_projection", Q.with_(*_REPLAY_CTES) + "SELECT * FROM on_stock UNION ALL SELECT * FROM on_order")
+def stream_projection(spark, sf_dir):
+    """The Structured Streaming service (keyed state over both inputs) run to
+    the end of its input; must equal the batch replay."""
+    lines, stock = _inputs(spark, sf_dir)
+    out = stream_projection_of(spark, lines, stock)
+    return out.select(
+        *KEYS, "branch", ms("event_at"), "order_id", "line_no", ms("stock_checked_at"),
+        "current_quantity", "day", "slice", "quantity",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.run for k, q in REGISTRY.items()}
 
