@@ -78,45 +78,107 @@ def merge_infos(first: Column, second: Column) -> Column:
     return F.when(second.isNull(), first).otherwise(F.array_distinct(F.concat(first, second)))
 
 
-def annotate_fold(lines: DataFrame, order: list[str] | None = None) -> DataFrame:
+# arrival-time width of one chunk of a key's lines (see ``annotate_fold``)
+DEFAULT_CHUNK_SECONDS = 86400
+
+
+def annotate_fold(
+    lines: DataFrame, order: list[str] | None = None, chunk_seconds: int | None = DEFAULT_CHUNK_SECONDS
+) -> DataFrame:
     """Add the fold's per-row state to order lines.
 
     Columns added: ``rn`` (1-based arrival rank in the key), ``occupied``
-    (key non-empty after the row), ``span`` (last unoccupied rn before the
-    row, 0 if none: the life span the row belongs to) and ``first_in_span``
-    (first row of its distinct info inside its span).
+    (key non-empty after the row), ``span`` (last unoccupied rn up to the row,
+    0 if none: an occupied row's life span), ``last_empty`` (the key's last
+    unoccupied rn, 0 if none) and ``first_in_span`` (first row of its
+    distinct info inside its span).
+
+    Skew: a key's lines are cut into arrival-time chunks (``chunk_seconds``
+    wide; the arrival order starts with ``created_at``, so chunks are
+    contiguous runs). Rows are shuffled and sorted per (key, chunk), never
+    per key; what a chunk needs from the ones before it (row count, last
+    quantity, last sync row, last unoccupied row) is a one-row summary per
+    chunk, carried forward by a small window over the key's chunks and
+    joined back on (key, chunk). ``chunk_seconds=None`` keeps one chunk per key.
     """
     order = order or LINE_ORDER
-    w = Window.partitionBy(*KEYS).orderBy(*order)
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     q = F.col("quantity")
-    ranked = lines.withColumn("rn", F.row_number().over(w)).withColumn(
-        "sync", (q > 0) & F.coalesce(F.lag(q).over(w) > 0, F.lit(False))
+    chunk = (
+        F.floor(F.unix_seconds(F.col(order[0])) / F.lit(chunk_seconds)) if chunk_seconds else F.lit(0)
+    ).cast("long")
+    ck = [*KEYS, "chunk"]
+    w_c = Window.partitionBy(*ck).orderBy(*order)
+    run_c = w_c.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    # 1. inside each chunk: local rank, local sync rows (the first row's sync
+    #    depends on the previous chunk and is settled in step 3)
+    local = (
+        lines.withColumn("chunk", chunk)
+        .withColumn("rn_c", F.row_number().over(w_c))
+        .withColumn("sync_l", (q > 0) & F.coalesce(F.lag(q).over(w_c) > 0, F.lit(False)))
+        .withColumn("ls_l", F.max(F.when(F.col("sync_l"), F.col("rn_c"))).over(run_c))
+    )
+    # 2. one row per chunk, 3. carried along the key's chunks
+    w_k = Window.partitionBy(*KEYS).orderBy("chunk")
+    before = w_k.rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        local.groupBy(*ck)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min_by(q, F.col("rn_c")).alias("first_q"),
+            F.max_by(q, F.col("rn_c")).alias("last_q"),
+            F.max(F.when(F.col("sync_l"), F.col("rn_c"))).alias("ms"),
+        )
+        .withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("int"))
+        .withColumn("fs", (F.col("first_q") > 0) & F.coalesce(F.lag("last_q").over(w_k) > 0, F.lit(False)))
+        .withColumn(
+            "g", F.greatest(F.col("off") + F.col("ms"), F.when(F.col("fs"), F.col("off") + 1))
+        )
+        .withColumn("carry_ls", F.max("g").over(before))
+        .select(*ck, "off", "fs", "carry_ls")
     )
-    last_sync = F.max(F.when(F.col("sync"), F.col("rn"))).over(running)
-    occupied = (
-        F.when(last_sync.isNull(), F.col("rn") % 2).otherwise((1 + F.col("rn") - last_sync) % 2) == 1
+    rn = F.col("off") + F.col("rn_c")
+    last_sync = F.greatest(F.col("carry_ls"), F.when(F.col("fs"), F.col("off") + 1), F.col("off") + F.col("ls_l"))
+    occupied = F.when(last_sync.isNull(), rn % 2).otherwise((1 + rn - last_sync) % 2) == 1
+    with_occ = (
+        local.join(carry, ck)
+        .withColumn("rn", rn.cast("int"))
+        .withColumn("occupied", occupied)
+        .withColumn("mu_l", F.max(F.when(~F.col("occupied"), F.col("rn"))).over(run_c))
+    )
+    # 4. last unoccupied row: carried the same way, and the key's overall one
+    empties = (
+        with_occ.groupBy(*ck)
+        .agg(F.max(F.when(~F.col("occupied"), F.col("rn"))).alias("m"))
+        .withColumn("carry_span", F.max("m").over(before))
+        .withColumn("last_empty", F.coalesce(F.max("m").over(Window.partitionBy(*KEYS)), F.lit(0)))
+        .select(*ck, "carry_span", "last_empty")
+    )
+    spans = (
+        with_occ.join(empties, ck)
+        .withColumn("span", F.coalesce(F.greatest(F.col("carry_span"), F.col("mu_l")), F.lit(0)).cast("int"))
+        .drop("rn_c", "sync_l", "ls_l", "off", "fs", "carry_ls", "mu_l", "carry_span", "chunk")
     )
-    with_occ = ranked.withColumn("occupied", occupied)
-    span = F.coalesce(F.max(F.when(~F.col("occupied"), F.col("rn"))).over(running), F.lit(0))
-    spans = with_occ.withColumn("span", span).drop("sync")
     # an unoccupied row has its own rn as span; keep it apart from the span it closes
     first = Window.partitionBy(*KEYS, "span", "occupied", *INFO_FIELDS).orderBy("rn")
     return spans.withColumn("first_in_span", F.row_number().over(first) == 1)
 
 
-def order_table_rows(lines: DataFrame, order: list[str] | None = None, with_rank: bool = False) -> DataFrame:
+def order_table_rows(
+    lines: DataFrame,
+    order: list[str] | None = None,
+    with_rank: bool = False,
+    chunk_seconds: int | None = DEFAULT_CHUNK_SECONDS,
+) -> DataFrame:
     """The live infos of the order table after all lines: one row per distinct
     info, flat (store, product, quantity, order_id, created_at, deliver_at,
     status), plus ``rn`` (arrival rank of its first occurrence) if asked.
 
     Rows after the key's last unoccupied row form its current life span; the
     first occurrence of each info there is the live set."""
-    folded = annotate_fold(lines, order)
-    last_empty = F.max(F.when(~F.col("occupied"), F.col("rn")).otherwise(0)).over(Window.partitionBy(*KEYS))
+    folded = annotate_fold(lines, order, chunk_seconds)
     return (
-        folded.withColumn("last_empty", last_empty)
-        .where((F.col("rn") > F.col("last_empty")) & F.col("first_in_span"))
+        folded.where((F.col("rn") > F.col("last_empty")) & F.col("first_in_span"))
         .select(*KEYS, *INFO_FIELDS, *(["rn"] if with_rank else []))
     )
 
@@ -126,10 +188,7 @@ def order_table(lines: DataFrame, order: list[str] | None = None) -> DataFrame:
     infos in arrival order. The array per key is the *result* (the live
     state), built from already deduplicated rows."""
     folded = annotate_fold(lines, order)
-    last_empty = F.max(F.when(~F.col("occupied"), F.col("rn")).otherwise(0)).over(Window.partitionBy(*KEYS))
-    live = folded.withColumn("last_empty", last_empty).where(
-        (F.col("rn") > F.col("last_empty")) & F.col("first_in_span")
-    )
+    live = folded.where((F.col("rn") > F.col("last_empty")) & F.col("first_in_span"))
     return live.groupBy(*KEYS).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rn", info_struct().alias("info")))), lambda x: x["info"]).alias(
             "info"
@@ -137,14 +196,16 @@ def order_table(lines: DataFrame, order: list[str] | None = None) -> DataFrame:
     )
 
 
-def order_table_changelog(lines: DataFrame, order: list[str] | None = None) -> DataFrame:
+def order_table_changelog(
+    lines: DataFrame, order: list[str] | None = None, chunk_seconds: int | None = DEFAULT_CHUNK_SECONDS
+) -> DataFrame:
     """The table's changelog: one row per line, the key's state after it.
 
     ``deleted`` marks a tombstone (key emptied); ``info_count`` and
     ``live_quantity`` describe the distinct live infos after the row. Both
     are running values over the row's life span, so no state is gathered.
     """
-    folded = annotate_fold(lines, order)
+    folded = annotate_fold(lines, order, chunk_seconds)
     w_span = Window.partitionBy(*KEYS, "span").orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fresh = F.col("first_in_span") & F.col("occupied")
     return folded.select(

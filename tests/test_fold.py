@@ -54,7 +54,11 @@ def _info(r):
     return (r[4], r[2], r[5], r[6], r[7])
 
 
-def test_fold_matches_model(spark):
+import pytest
+
+
+@pytest.mark.parametrize("chunk_seconds", [None, 3600, 86400])
+def test_fold_matches_model(spark, chunk_seconds):
     rows = _random_lines()
     by_key = {}
     for r in sorted(rows, key=_arrival):
@@ -62,12 +66,12 @@ def test_fold_matches_model(spark):
     df = lines_df(spark, rows)
 
     live = {}
-    for r in O.order_table_rows(df).collect():
+    for r in O.order_table_rows(df, chunk_seconds=chunk_seconds).collect():
         live.setdefault(r["product"], set()).add(
             (r["quantity"], r["order_id"], r["created_at"], r["deliver_at"], r["status"])
         )
     log = {}
-    for r in O.order_table_changelog(df).collect():
+    for r in O.order_table_changelog(df, chunk_seconds=chunk_seconds).collect():
         log[(r["product"], r["rn"])] = (r["deleted"], r["info_count"], r["live_quantity"])
 
     for key, seq in by_key.items():
