@@ -97,3 +97,17 @@ def test_lone_nonpositive_line_stays_until_next(spark):
         ],
     )
     assert O.order_table_rows(df2).count() == 0
+
+
+def test_replay_is_independent_of_chunking(spark):
+    """Cutting scans into many small slices (hour chunks, 2-rank position
+    slices) gives the same replay as no cutting at all."""
+    from conftest import SF_SMALL
+    from stockcast.operators import replay as R
+    from stockcast.sources import tables
+
+    lines, stock = tables.lines(spark, SF_SMALL), tables.stock(spark, SF_SMALL)
+    whole = R.replay_projections(lines, stock, 7, chunk_seconds=None, pos_chunk=None)
+    cut = R.replay_projections(lines, stock, 7, chunk_seconds=6 * 3600, pos_chunk=3)
+    assert whole.count() == cut.count()
+    assert whole.exceptAll(cut).count() == 0 and cut.exceptAll(whole).count() == 0
