@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockcast.schemas import INFO_FIELDS, KEYS
+from stockcast.session import materialize
 
 # arrival order of order lines inside a key: time, then order, line, quantity
 LINE_ORDER = ["created_at", "order_id", "line_no", "quantity"]
@@ -78,12 +79,48 @@ def merge_infos(first: Column, second: Column) -> Column:
     return F.when(second.isNull(), first).otherwise(F.array_distinct(F.concat(first, second)))
 
 
-# arrival-time width of one chunk of a key's lines (see ``annotate_fold``)
-DEFAULT_CHUNK_SECONDS = 86400
+# chunking of a key's arrival order (see ``annotate_fold``): "auto" splits only
+# keys with more rows than CHUNK_ROWS, into time chunks of about that many rows
+DEFAULT_CHUNK_SECONDS = "auto"
+CHUNK_ROWS = 1 << 22
+
+
+def arrival_chunks(df: DataFrame, time_col: str, chunk_seconds="auto", target_rows: int | None = None) -> DataFrame:
+    """Add ``chunk``: a contiguous slice of each key's arrival order.
+
+    * ``None``: one chunk per key;
+    * a number: fixed-width time buckets of that many seconds;
+    * ``"auto"``: keys with more than ``target_rows`` rows are cut into time
+      buckets sized to hold about ``target_rows`` each; all other keys keep a
+      single chunk. The hot-key table is broadcast; it is bounded by
+      construction (fewer than total rows / ``target_rows`` keys can exceed
+      ``target_rows`` rows), and the counts behind it are partial aggregates.
+    """
+    secs = F.unix_seconds(F.col(time_col))
+    target_rows = target_rows or CHUNK_ROWS
+    if chunk_seconds is None:
+        return df.withColumn("chunk", F.lit(0).cast("long"))
+    if chunk_seconds != "auto":
+        return df.withColumn("chunk", F.floor(secs / F.lit(chunk_seconds)).cast("long"))
+    hot = (
+        df.groupBy(*KEYS)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(secs).alias("_t0"), F.max(secs).alias("_t1"))
+        .where(F.col("_n") > target_rows)
+        .select(
+            *KEYS,
+            "_t0",
+            F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + 1) * target_rows / F.col("_n"))).alias("_w"),
+        )
+    )
+    return (
+        df.join(F.broadcast(hot), KEYS, "left")
+        .withColumn("chunk", F.coalesce(F.floor((secs - F.col("_t0")) / F.col("_w")), F.lit(0)).cast("long"))
+        .drop("_t0", "_w")
+    )
 
 
 def annotate_fold(
-    lines: DataFrame, order: list[str] | None = None, chunk_seconds: int | None = DEFAULT_CHUNK_SECONDS
+    lines: DataFrame, order: list[str] | None = None, chunk_seconds=DEFAULT_CHUNK_SECONDS
 ) -> DataFrame:
     """Add the fold's per-row state to order lines.
 
@@ -93,9 +130,9 @@ def annotate_fold(
     unoccupied rn, 0 if none) and ``first_in_span`` (first row of its
     distinct info inside its span).
 
-    Skew: a key's lines are cut into arrival-time chunks (``chunk_seconds``
-    wide; the arrival order starts with ``created_at``, so chunks are
-    contiguous runs). Rows are shuffled and sorted per (key, chunk), never
+    Skew: a key's lines are cut into arrival-time chunks (``arrival_chunks``;
+    the arrival order starts with ``created_at``, so chunks are contiguous
+    runs). Rows are shuffled and sorted per (key, chunk), never
     per key; what a chunk needs from the ones before it (row count, last
     quantity, last sync row, last unoccupied row) is a one-row summary per
     chunk, carried forward by a small window over the key's chunks and
@@ -103,17 +140,14 @@ def annotate_fold(
     """
     order = order or LINE_ORDER
     q = F.col("quantity")
-    chunk = (
-        F.floor(F.unix_seconds(F.col(order[0])) / F.lit(chunk_seconds)) if chunk_seconds else F.lit(0)
-    ).cast("long")
     ck = [*KEYS, "chunk"]
     w_c = Window.partitionBy(*ck).orderBy(*order)
     run_c = w_c.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     # 1. inside each chunk: local rank, local sync rows (the first row's sync
     #    depends on the previous chunk and is settled in step 3)
-    local = (
-        lines.withColumn("chunk", chunk)
+    local = materialize(
+        arrival_chunks(lines, order[0], chunk_seconds)
         .withColumn("rn_c", F.row_number().over(w_c))
         .withColumn("sync_l", (q > 0) & F.coalesce(F.lag(q).over(w_c) > 0, F.lit(False)))
         .withColumn("ls_l", F.max(F.when(F.col("sync_l"), F.col("rn_c"))).over(run_c))
@@ -168,7 +202,7 @@ def order_table_rows(
     lines: DataFrame,
     order: list[str] | None = None,
     with_rank: bool = False,
-    chunk_seconds: int | None = DEFAULT_CHUNK_SECONDS,
+    chunk_seconds=DEFAULT_CHUNK_SECONDS,
 ) -> DataFrame:
     """The live infos of the order table after all lines: one row per distinct
     info, flat (store, product, quantity, order_id, created_at, deliver_at,
@@ -197,7 +231,7 @@ def order_table(lines: DataFrame, order: list[str] | None = None) -> DataFrame:
 
 
 def order_table_changelog(
-    lines: DataFrame, order: list[str] | None = None, chunk_seconds: int | None = DEFAULT_CHUNK_SECONDS
+    lines: DataFrame, order: list[str] | None = None, chunk_seconds=DEFAULT_CHUNK_SECONDS
 ) -> DataFrame:
     """The table's changelog: one row per line, the key's state after it.
 

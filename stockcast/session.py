@@ -66,3 +66,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut the lineage of a frame used by several branches of one plan.
+
+    Spark does not reuse an exchange whose branches were pruned to different
+    columns, so a shared intermediate would be recomputed per branch (scans
+    and joins included). A reliable ``checkpoint`` writes it once to the
+    shared checkpoint folder; it also survives the loss of an executor.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -57,8 +57,12 @@ def _info(r):
 import pytest
 
 
-@pytest.mark.parametrize("chunk_seconds", [None, 3600, 86400])
-def test_fold_matches_model(spark, chunk_seconds):
+@pytest.mark.parametrize("chunk_seconds", [None, 3600, 86400, "auto", "auto-small"])
+def test_fold_matches_model(spark, chunk_seconds, monkeypatch):
+    if chunk_seconds == "auto-small":
+        # every key with more than 3 lines counts as hot and is cut into chunks
+        monkeypatch.setattr(O, "CHUNK_ROWS", 3)
+        chunk_seconds = "auto"
     rows = _random_lines()
     by_key = {}
     for r in sorted(rows, key=_arrival):
