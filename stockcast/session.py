@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -47,15 +48,15 @@ def use_utc(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh folder
-    is made and registered, so that jobs never fall back to a machine-local
-    path on a real cluster.
+    Read from the session. Where it is unset, a fresh folder is made on a local
+    master (tests) only; on a cluster that is an error, as a machine-local
+    folder would be invisible to the other machines.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
+    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="stockcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc.getCheckpointDir() is None:
@@ -63,6 +64,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors once an application, so that Python
+    tasks can import it wherever the driver was started from."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        _shipped.add(sc.applicationId)
+        home = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="stockcast-py-"), "stockcast.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for folder, _, names in os.walk(home):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("stockcast", os.path.relpath(path, home)))
+        sc.addPyFile(archive)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
