@@ -1,8 +1,9 @@
 """License scan by diagonal voting, in DataFrame operations only.
 
 Templates (phrases and standard notices) are cut into rolling word k-grams.
-All rolling k-gram hashes of every text join the template positions; a hit of
-text position i on template position j votes for the diagonal i - j. Votes are
+The rolling word-pair hashes of every text join the template positions, whose
+whole k-grams are compared at once; a hit of text position i on template
+position j votes for the diagonal i - j. Votes are
 summed by diagonal, neighbouring diagonals of long templates are merged (an
 inserted or dropped word shifts the rest), and spans are verified against the
 template's words.
@@ -43,35 +44,32 @@ NOTICES = [
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    """(k, h, j, words, template, label, base, grams): one row a template
-    position; a fixed number of rows (under 200)."""
+    """(h, j, k, expected, template, label, base, grams): one row a template
+    position, joined by the hash of two words and verified over k; a fixed
+    number of rows (under 200)."""
     rows = []
     for t, (label, text, base) in enumerate([(*p, True) for p in PHRASES] + [(*p, False) for p in NOTICES]):
         words = text.split()
         k = min(3, len(words))
-        rows += [(k, j, words[j : j + k], t, label, base, len(words) - k + 1) for j in range(len(words) - k + 1)]
-    frame = spark.createDataFrame(rows, "k int, j int, words array<string>, template int, label string, base boolean, grams int")
-    return frame.withColumn("h", F.xxhash64(F.array_join("words", " ")))
+        rows += [(words[j], words[j + 1], j, k, words[j : j + k], t, label, base, len(words) - k + 1) for j in range(len(words) - k + 1)]
+    frame = spark.createDataFrame(rows, "one string, two string, j int, k int, expected array<string>, template int, label string, base boolean, grams int")
+    return frame.withColumn("h", F.xxhash64("one", "two")).drop("one", "two")
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a voted diagonal group, plus one row (template null) a document:
-    row, doc_id, n_words, template, label, base, start, end, cover, place."""
+    row, doc_id, n_words, template, label, base, start, end, cover."""
     spark = docs.sparkSession
-    words = F.filter(F.split(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), WORDS), lambda w: w != "")
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), words.alias("words"))
-    gram = lambda k: F.transform(
-        _starts(k),
-        lambda i: F.struct(F.lit(k).alias("k"), i.alias("i"), F.xxhash64(F.concat_ws(" ", *(F.get(F.col("words"), i + m) for m in range(k)))).alias("h")),
-    )
-    mark = F.array(F.struct(F.lit(0).alias("k"), F.lit(0).alias("i"), F.lit(0).cast("long").alias("h")))  # every document meets one row
-    hits = texts.withColumn("g", F.explode(F.concat(mark, gram(2), gram(3))))
+    words = F.array_remove(F.split(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), WORDS), "")
+    # an empty word closes each text: every document so meets the row of no template
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.concat(words, F.array(F.lit(""))).alias("words"))
+    hits = texts.select("row", "doc_id", "words", F.posexplode("words").alias("i", "word")).withColumn("h", F.xxhash64("word", F.get("words", F.col("i") + 1)))
     known = templates(spark)
-    none = known.limit(0).unionByName(spark.range(1).select(F.lit(0).alias("k"), F.lit(0).cast("long").alias("h")), allowMissingColumns=True)
-    known = F.broadcast(known.unionByName(none).withColumnRenamed("words", "expected"))
-    hits = hits.join(known, (F.col("g.k") == F.col("k")) & (F.col("g.h") == F.col("h")))
-    same = F.col("expected").isNull() | (F.slice("words", F.col("g.i") + 1, F.greatest(F.col("g.k"), F.lit(1))) == F.col("expected"))
-    hits = hits.where(same).select("row", "doc_id", F.size("words").cast("long").alias("n_words"), "template", "label", "base", "grams", "j", "k", F.col("g.i").alias("i"))
+    none = spark.range(1).select(F.xxhash64(F.lit(""), F.lit(None).cast("string")).alias("h"))
+    known = F.broadcast(known.unionByName(none, allowMissingColumns=True))
+    hits = hits.join(known, "h")
+    same = F.col("expected").isNull() | (F.slice("words", F.col("i") + 1, F.coalesce("k", F.lit(1))) == F.col("expected"))
+    hits = hits.where(same).select("row", "doc_id", (F.size("words") - 1).cast("long").alias("n_words"), "template", "label", "base", "grams", "j", "k", "i")
     votes = hits.groupBy("row", "doc_id", "n_words", "template", "label", "base", "grams", "k", (F.col("i") - F.col("j")).alias("diagonal")).agg(
         F.count("*").alias("votes"), F.min("i").alias("first"), F.max("i").alias("last")
     )
@@ -85,12 +83,6 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
-def _starts(k: int):
-    """Positions at which a k-gram starts; none in texts of fewer words."""
-    n = F.size("words") - (k - 1)
-    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-
-
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) a row."""
     found = spans(docs, id_col, text_col)
