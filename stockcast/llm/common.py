@@ -22,7 +22,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Text bytes scanned at once by the numpy helpers; a longer text is scanned
 #: alone, whole.
-SCAN_BYTES = 2 << 20
+SCAN_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +61,7 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the multiplier and of its inverse."""
     if len(_powers.get("p", ())) < n:
         for key, base in (("p", _P), ("i", _P_INV)):
-            steps = np.full(max(n, SCAN_BYTES // 2), base, np.uint64)
+            steps = np.full(max(n, SCAN_BYTES), base, np.uint64)
             steps[0] = 1
             _powers[key] = np.multiply.accumulate(steps)
     return _powers["p"][:n], _powers["i"][:n]

@@ -11,9 +11,9 @@ component (smallest id reachable). How it runs:
    map-side), so groups of copies cost one row.
 3. Each class indexes only its first ``n - ceil(t n) + 1`` columns: a linked
    pair must share one of them. Overlap counts are accumulated per pair over
-   these columns and pairs whose size-derived bound cannot reach the threshold
-   are discarded. A column that many classes share emits no pairs but a star,
-   which puts all of its classes into one family.
+   these columns, cut into blocks by size, and pairs whose size-derived bound
+   cannot reach the threshold are discarded. A block that many classes share
+   emits no pairs but a star, which puts all of its classes into one family.
 4. Surviving pairs and stars form families (connected candidates). Within a
    family the whole sets are multiplied: blocks of classes against blocks of
    the same or the next size level, sizes farther apart cannot link. A block
@@ -32,14 +32,15 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockcast.llm.common import mixed, stored, word_runs
 from stockcast.llm.components import components, forest
 
-COUNTERS = 1 << 20  # hashed n-gram counters: 4 MB wherever they are sent
-PAIRS_UPTO = 48  # a column of more classes makes a star instead of pairs
+COUNTER_BITS = 18
+COUNTERS = 1 << COUNTER_BITS  # hashed n-gram counters; their levels take 256 KB
+PAIRS_UPTO = 128  # a column block of more classes makes a star instead of pairs
 BLOCK = 1 << 21  # n-grams in one block of a product
 
 _U = np.uint64
@@ -59,15 +60,14 @@ def shingle_runs(column: pa.Array, n: int):
         few = np.flatnonzero((size > 0) & (size < n))
         if len(few):
             short = np.array([_sequence(h[first[i] : first[i + 1]]) for i in few], _U)
-            grams, at = np.concatenate([grams, short]), np.concatenate([at, few])
-        order = np.lexsort((grams, at))
-        grams, at = grams[order], at[order]
-        new = np.ones(len(grams), bool)
-        new[1:] = (grams[1:] != grams[:-1]) | (at[1:] != at[:-1])
-        grams, at = grams[new], at[new]
-        cut = np.searchsorted(at, np.arange(b - a + 1))
+            where = np.searchsorted(at, few)
+            grams, at = np.insert(grams, where, short), np.insert(at, where, few)
+        cut = np.searchsorted(at, np.arange(b - a + 1)).tolist()
         for i in range(b - a):
-            yield a + i, grams[cut[i] : cut[i + 1]]
+            own = np.sort(grams[cut[i] : cut[i + 1]])
+            if len(own) > 1:
+                own = own[np.r_[True, own[1:] != own[:-1]]]
+            yield a + i, own
 
 
 def _sequence(h: np.ndarray) -> np.uint64:
@@ -89,10 +89,10 @@ def column_levels(docs: DataFrame, text: str, n: int) -> np.ndarray:
                 held.append(grams)
                 size += len(grams)
                 if size > 1 << 20:
-                    total += np.bincount((np.concatenate(held) >> _U(44)).astype(np.int64), minlength=COUNTERS)
+                    total += np.bincount((np.concatenate(held) >> _U(64 - COUNTER_BITS)).astype(np.int64), minlength=COUNTERS)
                     held, size = [], 0
             if held:
-                total += np.bincount((np.concatenate(held) >> _U(44)).astype(np.int64), minlength=COUNTERS)
+                total += np.bincount((np.concatenate(held) >> _U(64 - COUNTER_BITS)).astype(np.int64), minlength=COUNTERS)
         at = np.flatnonzero(total)
         for k in range(0, len(at), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(at[k : k + (1 << 16)], pa.int32()), pa.array(total[at[k : k + (1 << 16)]])], ["counter", "count"])
@@ -106,6 +106,12 @@ def column_levels(docs: DataFrame, text: str, n: int) -> np.ndarray:
     return level
 
 
+def size_level(n: str, num: int, den: int) -> Column:
+    """Sizes of linked sets are at most one level apart."""
+    step = math.log(den / num) * (1 + 1e-9) if num < den else 1.0
+    return F.floor(F.log(F.col(n).cast("double")) / step)
+
+
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row; links need
     ``den * intersection >= num * union``."""
@@ -118,8 +124,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             ids, rows = batch.column(0), []
             for _, grams in shingle_runs(batch.column(1), n):
                 keep = len(grams) - -(-num * len(grams) // den) + 1 if len(grams) else 0
-                level = levels.value[(grams >> _U(44)).astype(np.int64)]
-                first = np.lexsort((grams, grams & _U(0xFFFFFFFF), level))[:keep]
+                level = levels.value[(grams >> _U(64 - COUNTER_BITS)).astype(np.int64)]
+                # by level, then by the low bits; grams are sorted, which settles ties
+                first = np.argsort(level.astype(_U) << _U(56) | grams & _U((1 << 56) - 1), kind="stable")[:keep]
                 with np.errstate(over="ignore"):
                     one = int(grams.sum(dtype=_U).view(np.int64)) if len(grams) else 0
                     two = int(mixed(grams ^ _U(0xD6E8FEB86659FD93)).sum(dtype=_U).view(np.int64)) if len(grams) else 0
@@ -129,30 +136,39 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 ["doc_id", "n", "h1", "h2", "prefix"],
             )
 
-    rows = stored(docs.mapInArrow(sets, "doc_id long, n long, h1 long, h2 long, prefix array<int>"), "ngram-sets")
-    classes = stored(rows.where("n > 0 and doc_id is not null").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node")), "ngram-classes")
+    rows = docs.mapInArrow(sets, "doc_id long, n long, h1 long, h2 long, prefix array<int>").withColumn("seq", F.monotonically_increasing_id())
+    rows = stored(rows, "ngram-sets")
+    some = rows.where("n > 0 and doc_id is not null")
+    classes = some.groupBy("n", "h1", "h2").agg(F.min(F.struct("doc_id", "seq")).alias("first"))
+    classes = stored(classes.select("n", "h1", "h2", F.col("first.doc_id").alias("node"), F.col("first.seq").alias("seq")), "ngram-classes")
 
-    # Product over the indexed columns: (token, class) entries without copies.
-    entries = rows.where("n > 0 and doc_id is not null").select("n", "h1", "h2", F.explode("prefix").alias("token")).distinct()
-    entries = entries.join(classes, ["n", "h1", "h2"]).select("token", "node", F.col("n").cast("int"))
-    column = entries.groupBy("token").agg(F.count("*").alias("g"), F.min("node").alias("hub")).where("g > 1")
-    entries = stored(entries.join(column, "token"), "ngram-entries")
+    # Product over the indexed columns: (token, class) entries, of each class's first row.
+    entries = some.select("seq", "n", "prefix").join(classes.select("seq", "node"), "seq").select(F.explode("prefix").alias("token"), "node", F.col("n").cast("int"))
+    often = entries.groupBy("token").agg(F.count("*").alias("g")).where("g > 1").select("token")
+    # Linked sizes are at most one level apart: a token's column is cut by level,
+    # and a class stands in the blocks of its own and the next level.
+    level = size_level("n", num, den)
+    entries = entries.join(often, "token").withColumn("lv", level).withColumn("b", F.explode(F.array(F.col("lv"), F.col("lv") + 1)))
+    column = entries.groupBy("token", "b").agg(F.count("*").alias("g"), F.min("node").alias("hub")).where("g > 1")
+    entries = stored(entries.join(column, ["token", "b"]), "ngram-entries")
     star = entries.where((F.col("g") > PAIRS_UPTO) & (F.col("node") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    small = entries.where(F.col("g") <= PAIRS_UPTO).select("token", "node", "n")
-    x, y = small.select("token", F.col("node").alias("a"), F.col("n").alias("na")), small.select("token", F.col("node").alias("b"), F.col("n").alias("nb"))
-    near = (F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)
-    beyond = F.greatest(F.floor(F.col("na") * num / den), F.floor(F.col("nb") * num / den))  # columns past a prefix, at most
+    small = entries.where(F.col("g") <= PAIRS_UPTO)
+    x = small.select("token", "b", F.col("node").alias("a"), F.col("n").alias("na"), F.col("lv").alias("la")).alias("x")
+    y = small.select("token", "b", F.col("node").alias("c"), F.col("n").alias("nc"), F.col("lv").alias("lc")).alias("y")
+    near = (F.col("na") * den >= F.col("nc") * num) & (F.col("nc") * den >= F.col("na") * num)
+    once = F.col("x.b") == F.greatest("la", "lc")  # two classes of one level meet in two blocks
+    beyond = F.greatest(F.floor(F.col("na") * num / den), F.floor(F.col("nc") * num / den))  # columns past a prefix, at most
     pair = (
-        x.join(y, (x.token == y.token) & (F.col("a") < F.col("b")) & near)
-        .groupBy("a", "b", "na", "nb")
+        x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.b") == F.col("y.b")) & (F.col("a") < F.col("c")) & once & near)
+        .groupBy("a", "c", "na", "nc")
         .agg(F.count("*").alias("overlap"))
-        .where((F.col("overlap") + beyond) * (num + den) >= (F.col("na") + F.col("nb")) * num)
-        .select("a", "b")
+        .where((F.col("overlap") + beyond) * (num + den) >= (F.col("na") + F.col("nc")) * num)
+        .select("a", F.col("c").alias("b"))
     )
     families = stored(components(star.union(pair)), "ngram-families")
     links = _verified(docs, classes, families, n, num, den)
     joined = stored(components(links), "ngram-components")
-    named = classes.join(joined, "node", "left").select("n", "h1", "h2", F.coalesce("component", "node").alias("component_id"))
+    named = classes.drop("seq").join(joined, "node", "left").select("n", "h1", "h2", F.coalesce("component", "node").alias("component_id"))
     return (
         rows.select("doc_id", "n", "h1", "h2")
         .join(named, ["n", "h1", "h2"], "left")
@@ -162,9 +178,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _verified(docs: DataFrame, classes: DataFrame, families: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(a, b): a forest of the links inside each block of the families' products."""
-    member = families.withColumnRenamed("component", "family").join(classes, "node").select(F.col("node").alias("doc_id"), "family", "n", "h1", "h2")
-    step = math.log(den / num) if num < den else 1.0
-    level = F.floor(F.log(F.col("n").cast("double")) / step)  # linked sizes are at most one level apart
+    member = families.withColumnRenamed("component", "family").join(classes.drop("seq"), "node").select(F.col("node").alias("doc_id"), "family", "n", "h1", "h2")
+    level = size_level("n", num, den)
     whole = member.groupBy("family").agg(F.sum("n").alias("all_n"))
     parts = member.withColumn("level", level).groupBy("family", "level").agg(F.sum("n").alias("level_n"))
     parts = parts.join(whole, "family").withColumn("split", F.when(F.col("all_n") <= BLOCK, F.lit(0)).otherwise(F.ceil(F.col("level_n") / F.lit(BLOCK // 2))).cast("int"))
