@@ -1,0 +1,389 @@
+"""Each training-data operator against a brute-force version on small tables that
+hold nulls, empty and long texts, ties, repeated rows and extra columns, and on
+empty tables."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from stockcast.llm import bpe, chat, exact_dedup, license_scan, lm_scoring, mixing, near_vectors, ngram_join, pii, quality
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+KIND = "doc_id long, text string, lang string, source string, n_chars long, n long, row long, score double"
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+
+
+def rows():
+    rng = random.Random(3)
+    some = lambda n: " ".join(rng.choice(["The", "of", "and", "ou", "là", "déjà", "x1", "re", "Sh", "漢字"]) + str(rng.randrange(40)) for _ in range(n))
+    base = some(120)
+    texts = [None, "", "  \t\n", "one", "One  two", "one two", "one two three", "ONE two three four", base, base, base + " ", base.replace(" ", "\n", 5)]
+    for k in range(25):  # near copies
+        w = base.split()
+        w[k * 3] = f"changed{k}"
+        texts.append(" ".join(w))
+    texts += [base + " " + some(120), some(6000), "aa" * 30000, *(some(rng.randrange(1, 80)) for _ in range(60))]
+    texts += ["Released under the MIT License.", "mit license MIT license, GNU General Public License", "licensed under the apache\nlicense"]
+    texts += [license_scan.NOTICES[0][1], license_scan.NOTICES[2][1].replace("in compliance", "in strict compliance"), "mail a.b@c.de or +49 30 1234567, 10.0.0.1 4111 1111 1111 1111"]
+    out = [(i, t, "en", [None, "b", "a", "é", "b"][i % 5], 0, i, -i, 0.5) for i, t in enumerate(texts)]
+    return out + [(None, base, None, None, None, None, None, None), (3, "one", None, "b", 1, 1, 1, 1.0)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(rows(), KIND).repartition(5).cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], KIND)
+
+
+def near(sets, num, den):
+    """Component of each row index by brute force over all pairs."""
+    top = list(range(len(sets)))
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if sets[i] and sets[j] and den * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                top[b] = a
+    return [find(x) for x in range(len(sets))]
+
+
+@pytest.mark.parametrize("n,num,den", [(4, 85, 100), (5, 80, 100), (1, 1, 2)])
+@pytest.mark.parametrize("pairs_upto,block", [(128, 1 << 21), (3, 400)])
+def test_ngram_join(docs, monkeypatch, n, num, den, pairs_upto, block):
+    monkeypatch.setattr(ngram_join, "PAIRS_UPTO", pairs_upto)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    data = [r for r in rows() if r[0] is not None]
+    sets = []
+    for r in data:
+        w = words(r[1])
+        sets.append({tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set())
+    comp = near(sets, num, den)
+    for a in range(len(data)):  # rows of one id are one node
+        for b in range(a):
+            if data[a][0] == data[b][0]:
+                comp = [comp[b] if c == comp[a] else c for c in comp]
+    least = {}
+    for r, c in zip(data, comp):
+        least[c] = min(least.get(c, r[0]), r[0])
+    want = collections.Counter((r[0], len(s), least[c]) for r, s, c in zip(data, sets, comp))
+    got = ngram_join.ngram_join(docs, n=n, num=num, den=den).collect()
+    assert collections.Counter(tuple(r) for r in got if r.doc_id is not None) == want
+    assert [(r.n_shingles > 0, r.component_id) for r in got if r.doc_id is None] == [(True, None)]
+
+
+def test_exact_dedup(docs):
+    data = rows()
+    keep = collections.defaultdict(list)
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    for r in data:
+        keep[norm(r[1])].append(r[0])
+    got = exact_dedup.groups(docs).collect()
+    want = collections.Counter((r[0], min(i for i in keep[norm(r[1])] if i is not None), len(keep[norm(r[1])]), hashlib.sha256(norm(r[1]).encode()).hexdigest()) for r in data)
+    assert collections.Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == want
+    assert sum(r.kept for r in got) == len(keep)
+    stays = exact_dedup.dedup(docs)
+    assert stays.columns == docs.columns
+    assert sorted(r.doc_id for r in stays.collect()) == sorted(min(i for i in v if i is not None) for v in keep.values())
+
+
+def test_mixing(docs):
+    got = mixing.mix(docs).collect()
+    assert len(got) == docs.count()
+    size = collections.Counter()
+    for r in got:
+        size[r.source] += r.size
+    order = sorted((s for s in size if s is not None), key=lambda s: s.encode()) + [None]
+    weight = {s: (5.0, 2.0, 1.0)[k % 3] for k, s in enumerate(order)}
+    target, open_ = {}, set(order)
+    while True:  # share, stop at the cap, share the excess again
+        left = 1.5 * sum(size.values()) - sum(target.values())
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = [s for s in open_ if share[s] >= 2 * size[s]]
+        if not over:
+            target |= share
+            break
+        for s in over:
+            target[s] = 2.0 * size[s]
+            open_.remove(s)
+        if not open_:
+            break
+    taken, biggest = collections.Counter(), collections.Counter()
+    for r in got:
+        assert r.source_size == size[r.source] and math.isclose(r.target, target[r.source], rel_tol=1e-9)
+        assert r.taken == r.copies * r.size <= 2 * r.size
+        taken[r.source] += r.taken
+        biggest[r.source] = max(biggest[r.source], r.size)
+    for s in order:
+        assert abs(taken[s] - target[s]) <= biggest[s] / 2 + 1
+    again = mixing.mix(docs.repartition(3)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    whole = mixing.mixed_documents(docs)
+    assert whole.columns == docs.columns and whole.count() == sum(r.copies for r in got)
+
+
+def test_cube_flight_keeps_totals():
+    rng = np.random.default_rng(1)
+    size = rng.integers(0, 500, 700).astype(float)
+    prob = rng.random(700)
+    out = mixing.flight(prob, size, rng.random(700))
+    assert ((out > 0) & (out < 1)).sum() <= 2
+    assert abs(out.sum() - prob.sum()) < 1e-6 and abs((out * size).sum() - (prob * size).sum()) < 1e-3
+
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def base_spans(text):
+    out = {}
+    for kind, pattern in BASE.items():
+        out[kind] = []
+        for m in re.finditer(pattern, text):
+            d = re.sub(r"[^0-9]", "", m.group())
+            luhn = sum(int(x) if i % 2 == 0 else sum(divmod(2 * int(x), 10)) for i, x in enumerate(d[::-1])) % 10 == 0
+            if not (kind == "ip" and any(int(x) > 255 for x in m.group().split(".")) or kind == "card" and not (13 <= len(d) <= 19 and luhn) or kind == "phone" and not 9 <= len(d) <= 15):
+                out[kind].append(m.span())
+    return out
+
+
+def test_pii_parsers_equal_the_patterns():
+    rng = random.Random(5)
+    for alphabet, n in (("0012345 59-.+@a.Z%é() ", 30000), ("41 1-", 5000)):
+        for _ in range(n):
+            text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 45)))
+            found = pii.find(text)
+            assert {k: found[k] for k in BASE} == base_spans(text), text
+
+
+def test_pii_query(docs):
+    got = {(r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in pii.pii_digests(docs).collect()}
+    want = set()
+    for r in rows():
+        s = base_spans(r[1] or "")
+        text = ",".join(f"{k}:{a}:{b}" for k in BASE for a, b in s[k])
+        want.add((r[0], *(len(s[k]) for k in BASE), hashlib.sha256(text.encode()).hexdigest()))
+    assert got == want
+    assert any(r.text and "[email]" in r.text and "[card]" in r.text for r in pii.redact(docs).collect())
+
+
+def test_pii_own_kinds():
+    text = "see https://a.example/x?y=1. IBAN: GB82 WEST 1234 5698 7654 32, SSN 123-45-6789 IBAN GB00 WEST 1234 5698 7654 32"
+    found = pii.find(text)
+    assert [text[a:b] for a, b in found["url"]] == ["https://a.example/x?y=1"]
+    assert [text[a:b] for a, b in found["iban"]] == ["GB82 WEST 1234 5698 7654 32"]
+    assert [text[a:b] for a, b in found["ssn"]] == ["123-45-6789"]
+
+
+def test_chat_round_trip(spark):
+    rng = random.Random(2)
+    parts = ["[INST]", "[/INST]", " [/INST]", "[BOT] ", "</s>", "<s>", "\\", "[", "<", "]", "a", " ", "[ROLE x] ", "[/ROLE]", "\n", "é", "漢"]
+    data = []
+    for conv in [*range(40), None]:
+        for turn in range(rng.randint(1, 6)):
+            data.append((conv, turn if rng.random() < 0.9 else None, rng.choice(["user", "assistant", "system", None, "a]b\\["]), rng.choice([None, "".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))]), 1, "x"))
+    data += [data[0]]
+    turns = spark.createDataFrame(data, "conv_id long, turn long, role string, text string, level int, rendered string").repartition(4)
+    formatted = chat.format_turns(turns)
+    got = {r.conv_id: r for r in chat.conversation_digests(formatted).collect()}
+    convs = collections.defaultdict(list)
+    for c, t, r, x, *_ in data:
+        convs[c].append((t is None, t or 0, (r or "").encode(), (x or "").encode()))
+    assert set(got) == set(convs)
+    for c, lines in convs.items():
+        lines.sort()
+        said = b"".join(x for *_, r, x in lines if r == b"assistant")
+        assert got[c].n_turns == len(lines)
+        assert got[c].turns_sha256 == hashlib.sha256(b"".join(r + b"\n" + x + b"\n" for *_, r, x in lines)).hexdigest()
+        assert (got[c].loss_chars, got[c].loss_sha256) == (len(said.decode()), hashlib.sha256(said).hexdigest())
+    chars = formatted.selectExpr("conv_id", "length(rendered) n").groupBy("conv_id").sum("n").collect()
+    assert {r[0]: r[1] for r in chars} == {c: r.formatted_chars for c, r in got.items()}
+    assert all(r.rendered == f"[INST] {r.text} [/INST]" for r in formatted.where("level = 0 and role = 'user'").collect())
+
+
+def test_lm_scoring(docs):
+    data = rows()
+    tokens = [[*words(r[1]), "\0end"] for r in data]
+    held = [zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 10 == 0 for r in data]
+    count = collections.Counter(t for ts, h in zip(tokens, held) if not h for t in ts)
+    n, v = sum(count.values()), len(count)
+    want = collections.Counter()
+    for r, ts, h in zip(data, tokens, held):
+        want[r[0], h, len(ts), sum(t in count for t in ts), n, round(sum(math.log10((count[t] + 0.1) / (n + 0.1 * (v + 1))) for t in ts), 6)] += 1
+    got = lm_scoring.lm_score(docs).collect()
+    assert collections.Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
+    assert all(r.score < 0 for r in got)
+
+
+def test_lm_model_is_a_distribution_and_rare_words_join(docs, monkeypatch):
+    whole = {(r.doc_id, r.n_tokens): (r.n_known, round(r.base_score, 6)) for r in lm_scoring.lm_score(docs).collect()}
+    monkeypatch.setattr(lm_scoring, "KNOWN", 20)  # all others meet their counts in the join
+    few = {(r.doc_id, r.n_tokens): (r.n_known, round(r.base_score, 6)) for r in lm_scoring.lm_score(docs).collect()}
+    assert few == whole
+    weight = np.random.default_rng(0).normal(size=(lm_scoring.FEATURES, lm_scoring.CLASSES)).astype(np.float32)
+    p = np.exp(lm_scoring._log_classes(weight, np.zeros(lm_scoring.CLASSES, np.float32), np.array([[1, 2, 3], [4, 5, 6]])))
+    assert np.allclose(p.sum(1), 1, atol=1e-5)
+
+
+def test_lm_beats_its_base_on_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    held = lm_scoring.lm_score(docs).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
+    assert held["sum(score)"] > held["sum(base_score)"]
+
+
+def test_license_scan(docs):
+    want = collections.Counter()
+    for r in rows():
+        w = [x for x in re.split(license_scan.WORDS, (r[1] or "").translate(LOWER)) if x]
+        at = sorted((i, label) for label, phrase in license_scan.PHRASES for i in range(len(w)) if w[i : i + len(phrase.split())] == phrase.split())
+        want[r[0], len(w), len(at), at[0][0] if at else None, at[-1][0] if at else None, ",".join(sorted({x for _, x in at}))] += 1
+    got = license_scan.license_scan(docs).collect()
+    assert collections.Counter(tuple(r)[:6] for r in got) == want
+    assert all(0 <= r.score <= 1 and set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) for r in got)
+    notices = {r.doc_id: r.labels for r in got}
+    text = {r[0]: r[1] for r in rows()}
+    assert [notices[i] for i, t in text.items() if t == license_scan.NOTICES[0][1]] == ["mit"]
+    assert [notices[i] for i, t in text.items() if t and "in strict compliance" in t] == ["apache"]  # a shifted diagonal
+
+
+def test_quality_on_held_out_rows(spark, docs):
+    whole = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = {r.doc_id: r for r in quality.classify(whole, labels).collect()}
+    held = [(r.quality, got[r.doc_id]) for r in labels.collect() if got[r.doc_id].held_out]
+    assert np.mean([q == r.predicted for q, r in held]) > 0.95
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and r.predicted == int(r.score >= 0.7) for r in got.values())
+    small = quality.classify(docs, labels).collect()
+    assert len(small) == docs.count() and all(0 <= r.score <= 1 for r in small)
+    kept = quality.keep_good(whole, labels)
+    assert kept.columns == whole.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, r in got.items() if r.predicted)
+
+
+def test_quality_passages_cover_whole_texts():
+    import pyarrow as pa
+
+    texts = ["a b", None, "", " x" * 1000, "\n" * 50]
+    bags = np.concatenate([bag for bag, _ in quality.passages(pa.array(texts, pa.string()))])
+    assert collections.Counter(bags.tolist()) == {0: 1, 1: 1, 2: 1, 3: 16, 4: 1}
+
+
+def test_near_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    data = []
+    for k in range(60):
+        centre = rng.normal(size=16)
+        for _ in range(1 if k % 3 else 12):
+            data.append((len(data), [float(x) for x in (centre + rng.normal(size=16) * 0.12) * rng.uniform(0.5, 2)], k % 2))
+    data += [(len(data), data[0][1], 0), (0, data[0][1], 0)]
+    data += [(1000, None, 0), (1001, [0.0] * 16, 0), (1002, [float("nan")] * 16, 0), (1003, [None] * 16, 0), (1004, data[0][1], None), (1005, [], 1), (None, data[1][1], 0)]
+    frame = spark.createDataFrame([(*r, "x", 5) for r in data], "vec_id long, embedding array<float>, label int, component string, n_links int").repartition(4)
+    unit = []
+    for _, v, label in data:
+        a = np.array(v, np.float32).astype(float) if v and None not in v else None
+        unit.append(None if a is None or label is None or not np.isfinite(a).all() or not a.any() else (label, a / np.linalg.norm(a)))
+    link = [[j for j in range(len(data)) if j != i and unit[i] and unit[j] and unit[i][0] == unit[j][0] and unit[i][1] @ unit[j][1] >= 0.93] for i in range(len(data))]
+    comp = list(range(len(data)))
+    for _ in data:
+        comp = [min([comp[i], *(comp[j] for j in link[i])]) for i in range(len(data))]
+    least = {}
+    for (i, *_), c in zip(data, comp):
+        least[c] = min([x for x in (least.get(c), i) if x is not None], default=None)
+    want = collections.Counter((r[0], len(link[k]), least[comp[k]]) for k, r in enumerate(data))
+    for block in (4096, 40):  # whole shards; blocks against blocks
+        monkeypatch.setattr(near_vectors, "BLOCK", block)
+        got = near_vectors.near_vectors(frame).collect()
+        assert collections.Counter((r.vec_id, r.n_links, r.component_id) for r in got) == want
+        assert all(r.kept == (r.vec_id is not None and r.vec_id == r.component_id) for r in got)
+
+
+def test_near_vectors_recall(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = np.repeat(rng.normal(size=(400, 32)), 5, axis=0) + rng.normal(size=(2000, 32)) * 0.15
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(near_vectors, "SHARD", 500)
+    got = {r.vec_id: r.n_links for r in near_vectors.near_vectors(frame).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = (u @ u.T >= 0.93).sum(1) - 1
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= true).all() and found.sum() >= 0.9 * true.sum() > 0
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    public = pytest.importorskip("public_tokenizers")
+    return public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN
+
+
+@pytest.fixture(scope="module")
+def reference(vocabulary):
+    tiktoken = pytest.importorskip("tiktoken")
+    return tiktoken.Encoding("own", pat_str=vocabulary[1], mergeable_ranks=bpe.read_ranks(vocabulary[0]), special_tokens={})
+
+
+def test_bpe(docs, vocabulary, reference, monkeypatch):
+    want = collections.Counter()
+    for r in rows():
+        ids = reference.encode_ordinary(r[1] or "")
+        want[r[0], len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((r[1] or "").encode()).hexdigest(), True] += 1
+    assert collections.Counter(tuple(r) for r in bpe.round_trip(docs, *vocabulary).collect()) == want
+    encoded = bpe.encode(docs, *vocabulary)
+    assert {r.doc_id: r.ids for r in encoded.collect() if r.doc_id == 8} == {8: reference.encode_ordinary(rows()[8][1])}
+    assert sorted(str(r.text) for r in bpe.decode(encoded, *vocabulary).collect()) == sorted(r[1] or "" for r in rows())
+
+
+def test_bpe_transducer(vocabulary, reference, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 50)
+    monkeypatch.setattr(bpe, "CACHED_STATES", 200)
+    monkeypatch.setattr(bpe, "LOOKAHEAD", 200)
+    monkeypatch.setattr(bpe, "CHUNK", 3)
+    own = bpe.Coder(*vocabulary)
+    rng = random.Random(1)
+    alphabet = "aaaabbbb eeettthh \n\t\x1c\x85\xa0'sS01239.,!éèäüß漢字かな😀👍🏽‍ابпр́"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(3000)] + [c * n for c in "a -=\n漢" for n in (1, 7, 300, 3000)]
+    for text in texts:
+        ids = reference.encode_ordinary(text)
+        assert own.written(text) == ",".join(map(str, ids)), text
+        assert "".join(t for _, t in own.decoded(map(str, ids))) == text
+
+
+def test_empty_tables(spark, nothing, vocabulary):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    vectors = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    for frame in (
+        ngram_join.ngram_join(nothing),
+        mixing.mix(nothing),
+        mixing.mixed_documents(nothing),
+        pii.pii_digests(nothing),
+        chat.conversation_digests(chat.format_turns(turns)),
+        lm_scoring.lm_score(nothing),
+        license_scan.license_scan(nothing),
+        quality.classify(nothing, labels),
+        near_vectors.near_vectors(vectors),
+        bpe.round_trip(nothing, *vocabulary),
+        exact_dedup.groups(nothing),
+        exact_dedup.dedup(nothing),
+    ):
+        assert frame.count() == 0
