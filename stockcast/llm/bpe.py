@@ -22,6 +22,7 @@ are emptied when they reach a fixed size; results don't depend on it.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from itertools import islice
 
@@ -31,8 +32,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHED_PIECES = 1 << 18
-CACHED_STATES = 1 << 17
+CACHED_PIECES = 1 << 19
+CACHED_STATES = 1 << 18
 LOOKAHEAD = 1 << 10  # bytes after which agreed tokens are emitted; more than the longest token
 CHUNK = 1 << 15  # tokens decoded at once
 
@@ -230,6 +231,9 @@ def coder(path: str, pattern: str) -> Coder:
     """One coder a worker and vocabulary; it keeps its states between tasks."""
     if (path, pattern) not in _coders:
         _coders[path, pattern] = Coder(path, pattern)
+        gc.collect()
+        gc.freeze()  # the tables hold no cycles; don't walk them again and again
+        gc.set_threshold(200_000, 50, 1000)
     return _coders[path, pattern]
 
 
