@@ -32,6 +32,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockcast.llm.common import give_back
+
 CACHED_PIECES = 1 << 19
 CACHED_STATES = 1 << 18
 LOOKAHEAD = 1 << 10  # bytes after which agreed tokens are emitted; more than the longest token
@@ -44,7 +46,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Transducer:
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], most: int | None = None):
+        self.most = most or CACHED_STATES
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         # trie of the vocabulary: child node by node << 8 | byte, token by node
@@ -69,7 +72,7 @@ class Transducer:
         # an open position: (last token before it or -1, trie node of the bytes since)
         self.states: list[tuple] = [((-1, 0),)]
         self.number = {self.states[0]: 0}
-        self.moves: dict[int, tuple[int, int]] = {}
+        self.moves: dict[int, int] = {}  # next state << 20 | token + 1, in one number to save memory
 
     def merged(self, text: bytes) -> list[int]:
         """Encoding by merging the lowest rank first; for pairs of tokens only."""
@@ -93,12 +96,12 @@ class Transducer:
             if (whole := self.whole.get(b)) is None:
                 whole = self.whole[b] = self.merged(self.tokens[b]) == [b]
             known = whole and (a < 0 or self.merged(self.tokens[a] + self.tokens[b]) == [a, b])
-            if len(self.fits) > 1 << 20:
+            if len(self.fits) > 2 * self.most:
                 self.fits.clear()
             self.fits[a << 32 | b] = known
         return known
 
-    def move(self, state: int, byte: int) -> tuple[int, int]:
+    def move(self, state: int, byte: int) -> int:
         """The transition made on first use: (next state, token that ends here)."""
         after, ended = [], -1
         child, token_at, inner = self.child, self.token_at, self.inner
@@ -115,11 +118,11 @@ class Transducer:
         if to is None:
             to = self.number[key] = len(self.states)
             self.states.append(key)
-        move = self.moves[state << 8 | byte] = (to, ended)
+        move = self.moves[state << 8 | byte] = to << 20 | ended + 1
         return move
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.states) > CACHED_STATES:
+        if len(self.states) > self.most:
             self.reset()
         state, moves = 0, self.moves
         out: list[int] = []
@@ -128,8 +131,8 @@ class Transducer:
             move = moves.get(state << 8 | byte)
             if move is None:
                 move = self.move(state, byte)
-            state, token = move
-            ended.append(token)
+            state = move >> 20
+            ended.append((move & 0xFFFFF) - 1)
             if len(ended) >= LOOKAHEAD:
                 out += self.agreed(state, ended)
         return out + self.path(ended, len(ended))
@@ -180,13 +183,14 @@ class Utf8:
 
 
 class Coder:
-    """Texts to ids and back, with a bounded memory of pieces."""
+    """Texts to ids and back, with a bounded memory of pieces (``memory``; half
+    as many states)."""
 
-    def __init__(self, path: str, pattern: str):
-        self.machine = Transducer(read_ranks(path))
+    def __init__(self, path: str, pattern: str, memory: int | None = None):
+        self.machine = Transducer(read_ranks(path), memory and memory // 2)
         self.find = regex.compile(pattern)
         self.bytes_of = {str(i): t for i, t in self.machine.tokens.items()}
-        self.pieces = _Pieces(self.machine)
+        self.pieces = _Pieces(self.machine, memory or CACHED_PIECES)
 
     def written(self, text: str) -> str:
         """The ids in decimal, joined by commas."""
@@ -207,12 +211,12 @@ class Coder:
 class _Pieces(dict):
     """Ids of pieces seen lately; what is still in use moves on when it ages."""
 
-    def __init__(self, machine: Transducer):
+    def __init__(self, machine: Transducer, most: int):
         super().__init__()
-        self.machine, self.old = machine, {}
+        self.machine, self.most, self.old = machine, most, {}
 
     def age(self) -> None:
-        if len(self) > CACHED_PIECES:
+        if len(self) > self.most:
             self.old = dict(self)
             self.clear()
 
@@ -224,17 +228,18 @@ class _Pieces(dict):
         return ids
 
 
-_coders: dict[tuple[str, str], Coder] = {}
+_coders: dict[tuple, Coder] = {}
 
 
-def coder(path: str, pattern: str) -> Coder:
+def coder(path: str, pattern: str, memory: int | None = None) -> Coder:
     """One coder a worker and vocabulary; it keeps its states between tasks."""
-    if (path, pattern) not in _coders:
-        _coders[path, pattern] = Coder(path, pattern)
+    key = (path, pattern, memory)
+    if key not in _coders:
+        _coders[key] = Coder(path, pattern, memory)
         gc.collect()
         gc.freeze()  # the tables hold no cycles; don't walk them again and again
         gc.set_threshold(200_000, 50, 1000)
-    return _coders[path, pattern]
+    return _coders[key]
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -266,12 +271,12 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.mapInArrow(run, f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, memory: int | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, same[, ids]): encodes every
-    text, decodes the ids again and compares."""
+    text, decodes the ids again and compares. ``memory``: pieces a worker remembers."""
 
     def run(batches):
-        own = coder(path, pattern)
+        own = coder(path, pattern, memory)
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 part = batch.slice(first, 512)
@@ -291,6 +296,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                 cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string(), pa.bool_()))]
                 more = [pa.array(ids_of, pa.list_(pa.int32()))] if with_ids else []
                 yield pa.RecordBatch.from_arrays([part.column(0), *cols, *more], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "same", *(["ids"] if with_ids else [])])
+        give_back()
 
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean"

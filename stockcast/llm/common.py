@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +22,8 @@ from stockcast.session import scratch_path, ship_package
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: Text bytes scanned at once by the numpy helpers; a longer text is scanned
 #: alone, whole.
 SCAN_BYTES = 1 << 19
@@ -27,6 +31,8 @@ SCAN_BYTES = 1 << 19
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
+    if spark.conf.get(BATCH_ROWS, "10000") == "10000":  # left at its default: texts are long rows
+        spark.conf.set(BATCH_ROWS, "1000")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -37,6 +43,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Returns freed memory of a Python worker, which outlives its tasks, to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # no such call in this C library
+        pass
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z alone."""
     return F.translate(c, UPPER, LOWER)

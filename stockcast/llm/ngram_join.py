@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockcast.llm.common import mixed, stored, word_runs
+from stockcast.llm.common import give_back, mixed, stored, word_runs
 from stockcast.llm.components import components, forest
 
 COUNTER_BITS = 18
@@ -135,6 +135,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 [ids, *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3)), pa.array([r[3] for r in rows], pa.list_(pa.int32()))],
                 ["doc_id", "n", "h1", "h2", "prefix"],
             )
+        give_back()
 
     rows = docs.mapInArrow(sets, "doc_id long, n long, h1 long, h2 long, prefix array<int>").withColumn("seq", F.monotonically_increasing_id())
     rows = stored(rows, "ngram-sets")

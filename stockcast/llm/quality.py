@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockcast.llm.common import word_runs
+from stockcast.llm.common import give_back, word_runs
 
 PASSAGE = 64
 SAMPLE, SAMPLE_BYTES = 4000, 1 << 18
@@ -196,5 +196,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
                 n = bag[-1] - low + 1
                 good[low : low + n] = model.scores(x, bag - low, n) >= GOOD
             yield batch.filter(pa.array(good))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
