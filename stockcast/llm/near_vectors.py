@@ -33,7 +33,7 @@ from stockcast.llm.common import stored
 from stockcast.llm.components import components, forest
 
 SAMPLE = 20_000  # vectors that centres are fitted on
-SHARD, BLOCK = 2_000, 4_096  # vectors a centre is made for; most in a block
+SHARD, BLOCK = 500, 4_096  # vectors a centre is made for; most in a block
 OVERLAP = 2
 CELL, DEGREE, BEAM, ALPHA = 512, 24, 48, 1.2
 AUDIT, RECALL = 32, 0.98
@@ -242,7 +242,8 @@ def centres(vectors: DataFrame, threshold: float) -> dict[tuple, np.ndarray]:
             if len(picked) >= want or reach[far] >= threshold:
                 break
             picked.append(far)
-        out[key] = x[picked]
+        if len(picked) > OVERLAP:  # fewer would put every vector into every shard
+            out[key] = x[picked]
     return out
 
 
