@@ -65,78 +65,49 @@ def line_info(lines: DataFrame) -> DataFrame:
     return lines.select(*KEYS, F.array(info_struct()).alias("info"))
 
 
-def has_nonpositive(info: Column) -> Column:
-    return F.exists(info, lambda i: i["quantity"] <= 0)
-
-
 def nonpositive_orders(orders: DataFrame) -> DataFrame:
     """Orders holding an item with quantity <= 0 (the retraction signal)."""
     return orders.where(F.exists("items", lambda i: i["quantity"] <= 0))
 
 
-def merge_infos(first: Column, second: Column) -> Column:
-    """``first ++ second`` without repeats, first occurrence kept; NULL second = first."""
-    return F.when(second.isNull(), first).otherwise(F.array_distinct(F.concat(first, second)))
+def _complete(order: list[str]) -> Column:
+    """A line the fold can place: key, arrival time and quantity are known."""
+    known = [F.col(c).isNotNull() for c in (*KEYS, order[0], "quantity")]
+    return known[0] & known[1] & known[2] & known[3]
 
 
-# chunking of a key's arrival order (see ``annotate_fold``): "auto" splits only
-# keys with more rows than CHUNK_ROWS, into time chunks of about that many rows
-DEFAULT_CHUNK_SECONDS = "auto"
-CHUNK_ROWS = 1 << 22
+def rejected_lines(lines: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """The lines the fold leaves out, as they are: a null key, arrival time or
+    quantity. Together with the folded ones these are all lines."""
+    return lines.where(~_complete(order or LINE_ORDER))
 
 
-def arrival_chunks(df: DataFrame, time_col: str, chunk_seconds="auto", target_rows: int | None = None) -> DataFrame:
+def cut_ranges(df: DataFrame, order: list, parts: int | None = None) -> DataFrame:
     """Add ``chunk``: a contiguous slice of each key's arrival order.
 
-    * ``None``: one chunk per key;
-    * a number: fixed-width time buckets of that many seconds;
-    * ``"auto"``: keys with more than ``target_rows`` rows are cut into time
-      buckets sized to hold about ``target_rows`` each; all other keys keep a
-      single chunk. The hot-key table is broadcast; it is bounded by
-      construction (fewer than total rows / ``target_rows`` keys can exceed
-      ``target_rows`` rows), and the counts behind it are partial aggregates.
+    Rows are range-partitioned on the key and the whole arrival order, and the
+    partition's number is the slice. So a hot key, or one second of a bulk load,
+    is spread over as many slices as its share of the rows fills; only rows equal in
+    all those columns stay together. ``parts`` defaults to the shuffle
+    partitions. The result must be materialized before it is used twice, as
+    the range bounds are sampled anew with each evaluation.
     """
-    secs = F.unix_seconds(F.col(time_col))
-    target_rows = target_rows or CHUNK_ROWS
-    if chunk_seconds is None:
-        return df.withColumn("chunk", F.lit(0).cast("long"))
-    if chunk_seconds != "auto":
-        return df.withColumn("chunk", F.floor(secs / F.lit(chunk_seconds)).cast("long"))
-    hot = (
-        df.groupBy(*KEYS)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(secs).alias("_t0"), F.max(secs).alias("_t1"))
-        .where(F.col("_n") > target_rows)
-        .select(
-            *KEYS,
-            "_t0",
-            F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + 1) * target_rows / F.col("_n"))).alias("_w"),
-        )
-    )
-    return (
-        df.join(F.broadcast(hot), KEYS, "left")
-        .withColumn("chunk", F.coalesce(F.floor((secs - F.col("_t0")) / F.col("_w")), F.lit(0)).cast("long"))
-        .drop("_t0", "_w")
-    )
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(parts, *KEYS, *order).withColumn("chunk", F.spark_partition_id().cast("long"))
 
 
-def annotate_fold(
-    lines: DataFrame, order: list[str] | None = None, chunk_seconds=DEFAULT_CHUNK_SECONDS
-) -> DataFrame:
-    """Add the fold's per-row state to order lines.
-
-    Columns added: ``rn`` (1-based arrival rank in the key), ``occupied``
-    (key non-empty after the row), ``span`` (last unoccupied rn up to the row,
-    0 if none: an occupied row's life span), ``last_empty`` (the key's last
-    unoccupied rn, 0 if none) and ``first_in_span`` (first row of its
-    distinct info inside its span).
-
-    Skew: a key's lines are cut into arrival-time chunks (``arrival_chunks``;
-    the arrival order starts with ``created_at``, so chunks are contiguous
-    runs). Rows are shuffled and sorted per (key, chunk), never
-    per key; what a chunk needs from the ones before it (row count, last
-    quantity, last sync row, last unoccupied row) is a one-row summary per
-    chunk, carried forward by a small window over the key's chunks and
-    joined back on (key, chunk). ``chunk_seconds=None`` keeps one chunk per key.
+def annotate_spans(lines: DataFrame, order: list[str] | None = None, parts: int | None = None) -> DataFrame:
+    """Add the fold's per-row state to order lines (all but ``rejected_lines``).
+
+    Columns added: ``chunk`` (see ``cut_ranges``), ``rn`` (1-based arrival rank
+    in the key), ``occupied`` (key non-empty after the row), ``span`` (last
+    unoccupied rn up to the row, 0 if none: an occupied row's life span) and
+    ``last_empty`` (the key's last unoccupied rn, 0 if none).
+
+    Rows are sorted per (key, chunk), never per key. A chunk's rows before its
+    first sync row alternate from the state the chunk is entered in, so both
+    outcomes follow from the row's rank; one summary row per chunk, carried
+    by a small window over the key's chunks, settles which one holds.
     """
     order = order or LINE_ORDER
     q = F.col("quantity")
@@ -144,114 +115,135 @@ def annotate_fold(
     w_c = Window.partitionBy(*ck).orderBy(*order)
     run_c = w_c.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    # 1. inside each chunk: local rank, local sync rows (the first row's sync
-    #    depends on the previous chunk and is settled in step 3)
+    # 1. inside each chunk: local rank, first and last sync row so far, and the
+    #    last unoccupied row after a sync row
+    since = 1 + F.col("rn_c") - F.col("last_sync")
     local = materialize(
-        arrival_chunks(lines, order[0], chunk_seconds)
-        .withColumn("rn_c", F.row_number().over(w_c))
-        .withColumn("sync_l", (q > 0) & F.coalesce(F.lag(q).over(w_c) > 0, F.lit(False)))
-        .withColumn("ls_l", F.max(F.when(F.col("sync_l"), F.col("rn_c"))).over(run_c))
+        cut_ranges(lines.where(_complete(order)), order, parts)
+        .withColumn("rn_c", F.row_number().over(w_c).cast("long"))
+        .withColumn("sync", (q > 0) & F.coalesce(F.lag(q).over(w_c) > 0, F.lit(False)))
+        .withColumn("last_sync", F.max(F.when(F.col("sync"), F.col("rn_c"))).over(run_c))
+        .withColumn("first_sync", F.min(F.when(F.col("sync"), F.col("rn_c"))).over(run_c))
+        .withColumn("empty_after", F.max(F.when(since % 2 == 0, F.col("rn_c"))).over(run_c))
+        .drop("sync")
     )
-    # 2. one row per chunk, 3. carried along the key's chunks
+
+    def last_unoccupied(alternating: Column) -> Column:
+        """Of the first ``alternating`` rows after the entry, or after a sync row."""
+        before_sync = alternating - (alternating + F.col("entered")) % 2
+        return F.when(before_sync > 0, F.greatest("empty_after", before_sync)).otherwise(F.col("empty_after"))
+
+    # 2. one row per chunk, carried along the key's chunks
     w_k = Window.partitionBy(*KEYS).orderBy("chunk")
     before = w_k.rowsBetween(Window.unboundedPreceding, -1)
+    entered_since = 1 + F.col("off") - F.col("synced")
     carry = (
         local.groupBy(*ck)
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min_by(q, F.col("rn_c")).alias("first_q"),
             F.max_by(q, F.col("rn_c")).alias("last_q"),
-            F.max(F.when(F.col("sync_l"), F.col("rn_c"))).alias("ms"),
+            F.max("last_sync").alias("last_sync"),
+            F.min("first_sync").alias("first_sync"),
+            F.max("empty_after").alias("empty_after"),
         )
-        .withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("int"))
-        .withColumn("fs", (F.col("first_q") > 0) & F.coalesce(F.lag("last_q").over(w_k) > 0, F.lit(False)))
+        .withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long"))
+        .withColumn("opens", (F.col("first_q") > 0) & F.coalesce(F.lag("last_q").over(w_k) > 0, F.lit(False)))
+        .withColumn("g", F.greatest(F.col("off") + F.col("last_sync"), F.when(F.col("opens"), F.col("off") + 1)))
+        .withColumn("synced", F.max("g").over(before))
+        # a chunk opening with a sync row goes on as if entered empty
         .withColumn(
-            "g", F.greatest(F.col("off") + F.col("ms"), F.when(F.col("fs"), F.col("off") + 1))
+            "entered",
+            F.when(F.col("opens"), 0).when(F.col("synced").isNull(), F.col("off") % 2).otherwise(entered_since % 2).cast("long"),
         )
-        .withColumn("carry_ls", F.max("g").over(before))
-        .select(*ck, "off", "fs", "carry_ls")
-    )
-    rn = F.col("off") + F.col("rn_c")
-    last_sync = F.greatest(F.col("carry_ls"), F.when(F.col("fs"), F.col("off") + 1), F.col("off") + F.col("ls_l"))
-    occupied = F.when(last_sync.isNull(), rn % 2).otherwise((1 + rn - last_sync) % 2) == 1
-    with_occ = (
-        local.join(carry, ck)
-        .withColumn("rn", rn.cast("int"))
-        .withColumn("occupied", occupied)
-        .withColumn("mu_l", F.max(F.when(~F.col("occupied"), F.col("rn"))).over(run_c))
-    )
-    # 4. last unoccupied row: carried the same way, and the key's overall one
-    empties = (
-        with_occ.groupBy(*ck)
-        .agg(F.max(F.when(~F.col("occupied"), F.col("rn"))).alias("m"))
+        .withColumn("m", F.col("off") + last_unoccupied(F.coalesce(F.col("first_sync") - 1, F.col("n"))))
         .withColumn("carry_span", F.max("m").over(before))
-        .withColumn("last_empty", F.coalesce(F.max("m").over(Window.partitionBy(*KEYS)), F.lit(0)))
-        .select(*ck, "carry_span", "last_empty")
+        .withColumn("last_empty", F.coalesce(F.max("m").over(Window.partitionBy(*KEYS)), F.lit(0)).cast("long"))
+        .select(*ck, "off", "entered", "carry_span", "last_empty")
     )
-    spans = (
-        with_occ.join(empties, ck)
-        .withColumn("span", F.coalesce(F.greatest(F.col("carry_span"), F.col("mu_l")), F.lit(0)).cast("int"))
-        .drop("rn_c", "sync_l", "ls_l", "off", "fs", "carry_ls", "mu_l", "carry_span", "chunk")
+    # 3. every row's state from its chunk's entry
+    own_empty = F.col("off") + last_unoccupied(F.coalesce(F.col("first_sync") - 1, F.col("rn_c")))
+    return (
+        local.join(carry, ck)
+        .withColumn("rn", F.col("off") + F.col("rn_c"))
+        .withColumn("occupied", F.coalesce(since % 2 == 1, (F.col("entered") + F.col("rn_c")) % 2 == 1))
+        .withColumn("span", F.coalesce(F.greatest(F.col("carry_span"), own_empty), F.lit(0)).cast("long"))
+        .drop("rn_c", "last_sync", "first_sync", "empty_after", "off", "entered", "carry_span")
     )
+
+
+def annotate_fold(lines: DataFrame, order: list[str] | None = None, parts: int | None = None) -> DataFrame:
+    """``annotate_spans`` plus ``first_in_span``: the first row of its distinct
+    info inside its span. Repeats inside a chunk are settled there; of each info
+    only its first row per chunk meets the others."""
+    spans = annotate_spans(lines, order, parts)
     # an unoccupied row has its own rn as span; keep it apart from the span it closes
-    first = Window.partitionBy(*KEYS, "span", "occupied", *INFO_FIELDS).orderBy("rn")
-    return spans.withColumn("first_in_span", F.row_number().over(first) == 1)
+    info = [*KEYS, "span", "occupied", *INFO_FIELDS]
+    in_chunk = F.row_number().over(Window.partitionBy(*KEYS, "chunk", *info[len(KEYS):]).orderBy("rn")) == 1
+    overall = F.row_number().over(Window.partitionBy(*info, "repeat").orderBy("rn")) == 1
+    return (
+        spans.withColumn("first_c", in_chunk)
+        .withColumn("repeat", F.when(~F.col("first_c"), F.col("rn")))
+        .withColumn("first_in_span", F.col("first_c") & overall)
+        .drop("first_c", "repeat")
+    )
 
 
 def order_table_rows(
-    lines: DataFrame,
-    order: list[str] | None = None,
-    with_rank: bool = False,
-    chunk_seconds=DEFAULT_CHUNK_SECONDS,
+    lines: DataFrame, order: list[str] | None = None, with_rank: bool = False, parts: int | None = None
 ) -> DataFrame:
     """The live infos of the order table after all lines: one row per distinct
     info, flat (store, product, quantity, order_id, created_at, deliver_at,
     status), plus ``rn`` (arrival rank of its first occurrence) if asked.
 
     Rows after the key's last unoccupied row form its current life span; the
-    first occurrence of each info there is the live set."""
-    folded = annotate_fold(lines, order, chunk_seconds)
-    return (
-        folded.where((F.col("rn") > F.col("last_empty")) & F.col("first_in_span"))
-        .select(*KEYS, *INFO_FIELDS, *(["rn"] if with_rank else []))
+    distinct infos there are the live set."""
+    live = annotate_spans(lines, order, parts).where(F.col("rn") > F.col("last_empty"))
+    found = live.groupBy(*KEYS, *INFO_FIELDS).agg(F.min("rn").alias("rn"))
+    return found if with_rank else found.drop("rn")
+
+
+def live_totals(lines: DataFrame, order: list[str] | None = None, parts: int | None = None) -> DataFrame:
+    """``annotate_fold`` plus ``info_count`` and ``live_quantity``: number and
+    summed quantity of the span's distinct infos up to the row. The running
+    values are taken per chunk; a chunk adds the totals of the span's
+    earlier chunks, so a long span is never one task."""
+    folded = materialize(annotate_fold(lines, order, parts))
+    fresh = F.col("first_in_span") & F.col("occupied")
+    one, amount = F.when(fresh, 1).otherwise(0), F.when(fresh, F.col("quantity")).otherwise(0.0)
+    span = [*KEYS, "span"]
+    run = Window.partitionBy(*KEYS, "chunk", "span").orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*span).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        folded.groupBy(*span, "chunk")
+        .agg(F.sum(one).alias("n"), F.sum(amount).alias("q"))
+        .select(*span, "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_in"), F.coalesce(F.sum("q").over(before), F.lit(0.0)).alias("q_in"))
     )
-
-
-def order_table(lines: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """The order table in the nested record form: store, product, info array,
-    infos in arrival order. The array per key is the *result* (the live
-    state), built from already deduplicated rows."""
-    folded = annotate_fold(lines, order)
-    live = folded.where((F.col("rn") > F.col("last_empty")) & F.col("first_in_span"))
-    return live.groupBy(*KEYS).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rn", info_struct().alias("info")))), lambda x: x["info"]).alias(
-            "info"
-        )
+    return (
+        folded.withColumn("n_c", F.sum(one).over(run))
+        .withColumn("q_c", F.sum(amount).over(run))
+        .join(carry, [*span, "chunk"])
+        .withColumn("info_count", F.col("n_in") + F.col("n_c"))
+        .withColumn("live_quantity", F.col("q_in") + F.col("q_c"))
+        .drop("n_in", "n_c", "q_in", "q_c")
     )
 
 
-def order_table_changelog(
-    lines: DataFrame, order: list[str] | None = None, chunk_seconds=DEFAULT_CHUNK_SECONDS
-) -> DataFrame:
+def order_table_changelog(lines: DataFrame, order: list[str] | None = None, parts: int | None = None) -> DataFrame:
     """The table's changelog: one row per line, the key's state after it.
 
     ``deleted`` marks a tombstone (key emptied); ``info_count`` and
     ``live_quantity`` describe the distinct live infos after the row. Both
     are running values over the row's life span, so no state is gathered.
     """
-    folded = annotate_fold(lines, order, chunk_seconds)
-    w_span = Window.partitionBy(*KEYS, "span").orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fresh = F.col("first_in_span") & F.col("occupied")
-    return folded.select(
+    return live_totals(lines, order, parts).select(
         *KEYS,
         "rn",
         "order_id",
         "line_no",
         (~F.col("occupied")).alias("deleted"),
-        F.when(F.col("occupied"), F.sum(F.when(fresh, 1).otherwise(0)).over(w_span)).otherwise(0).alias("info_count"),
-        F.when(F.col("occupied"), F.sum(F.when(fresh, F.col("quantity")).otherwise(0.0)).over(w_span))
-        .otherwise(0.0)
-        .alias("live_quantity"),
+        F.when(F.col("occupied"), F.col("info_count")).otherwise(0).alias("info_count"),
+        F.when(F.col("occupied"), F.col("live_quantity")).otherwise(0.0).alias("live_quantity"),
     )
 
 

@@ -11,12 +11,13 @@ STOCK_COLUMNS = ["checked_at", "quantity"]
 
 
 def stock_table(stocks: DataFrame, arrival: str = "arrived_at") -> DataFrame:
-    """Newest check per key: the latest ``checked_at``; on a tie the later arrival.
+    """Newest check per key: the latest ``checked_at``; on a tie the later arrival,
+    then the larger quantity (as in the replay and the stream).
 
     ``max_by`` is an ordinary aggregate, so Spark combines it map-side before
     the shuffle: a hot key costs one partial row per task, not its history.
     """
-    rank = F.struct("checked_at", arrival) if arrival in stocks.columns else F.col("checked_at")
+    rank = F.struct(*[c for c in ("checked_at", arrival, "quantity") if c in stocks.columns])
     cols = [c for c in stocks.columns if c not in KEYS]
     newest = F.max_by(F.struct(*cols), rank).alias("newest")
     return stocks.groupBy(*KEYS).agg(newest).select(*KEYS, "newest.*")
