@@ -64,11 +64,3 @@ def readable_time(ts) -> Column:
         .when(F.second(ts) == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm"))
         .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
     )
-
-
-def epoch_millis(ts) -> Column:
-    return F.unix_millis(_col(ts))
-
-
-def from_epoch_millis(ms) -> Column:
-    return F.timestamp_millis(_col(ms))

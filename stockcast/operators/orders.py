@@ -37,11 +37,13 @@ def explode_lines(orders: DataFrame) -> DataFrame:
 
     An order with no items gives no row (``explode``, not ``explode_outer``).
     Items may carry a ``line_no``; otherwise the 1-based position is used.
+    An ``arrived_at`` of the order (its record's arrival) goes along.
     """
+    arrival = [c for c in ("arrived_at",) if c in orders.columns]
     item_fields = orders.schema["items"].dataType.elementType.fieldNames()
     line_no = F.col("item.line_no") if "line_no" in item_fields else (F.col("pos") + 1).cast("int")
     return orders.select(
-        "order_id", "store", "created_at", "deliver_at", "status", F.posexplode("items").alias("pos", "item")
+        "order_id", "store", "created_at", "deliver_at", "status", *arrival, F.posexplode("items").alias("pos", "item")
     ).select(
         "store",
         F.col("item.product").alias("product"),
@@ -51,6 +53,7 @@ def explode_lines(orders: DataFrame) -> DataFrame:
         "created_at",
         "deliver_at",
         "status",
+        *arrival,
     )
 
 
@@ -250,6 +253,9 @@ def order_table_changelog(lines: DataFrame, order: list[str] | None = None, part
 def merge_order_rows(first: DataFrame, second: DataFrame) -> DataFrame:
     """Flat form of merging two order records per key: the first's infos, then
     the second's, repeats dropped. Only keys of the first take part (a missing
-    second leaves the first as it is)."""
+    second leaves the first as it is). Both come with ``rn``; an info's place in
+    the merged list is (``side``, ``rn``) of its first occurrence."""
     first_keys = first.select(*KEYS).distinct()
-    return first.unionByName(second.join(first_keys, KEYS, "left_semi")).dropDuplicates(KEYS + INFO_FIELDS)
+    both = first.withColumn("side", F.lit(0)).unionByName(second.join(first_keys, KEYS, "left_semi").withColumn("side", F.lit(1)))
+    place = F.min(F.struct("side", "rn")).alias("place")
+    return both.groupBy(*KEYS, *INFO_FIELDS).agg(place).select(*KEYS, *INFO_FIELDS, "place.side", "place.rn")

@@ -68,10 +68,17 @@ def cumulative_demand(
     return joined.groupBy(*KEYS).agg(cumulative_sums(offset, F.col("quantity"), days).alias("cumulated"))
 
 
-def explode_days_and_slices(cumulated: Column, days: int) -> list[Column]:
-    """Columns ``day``, ``cumulated`` then (after a second select) slices."""
-    zeros = F.array_repeat(F.lit(0.0), check_days(days))
-    return [F.posexplode(F.coalesce(cumulated, zeros)).alias("day0", "cumulated")]
+def _snapshot_totals(stock_tbl: DataFrame, live_rows: DataFrame, days: int, mode: str) -> DataFrame:
+    """Per key of the stock table: current_quantity, ``cumulated`` (N totals) and
+    has_orders. One join; the grouping keeps its partitioning."""
+    demand = _demand_per_delivery_date(live_rows).withColumnRenamed("quantity", "due")
+    checks = stock_tbl.select(*KEYS, F.col("quantity").alias("current_quantity"), F.to_date("checked_at").alias("stock_date"))
+    offset = day_offset("stock_date", "deliver_date", mode)
+    return (
+        checks.join(demand, KEYS, "left")
+        .groupBy(*KEYS, "current_quantity")
+        .agg(cumulative_sums(offset, F.col("due"), days).alias("cumulated"), F.max(F.col("due").isNotNull()).alias("has_orders"))
+    )
 
 
 def project_snapshot(
@@ -86,16 +93,9 @@ def project_snapshot(
     Output: store, product, [created_at], current_quantity, has_orders, day,
     slice, quantity. Keys with no order state project their stock flat.
     """
-    days = check_days(days)
-    cum = cumulative_demand(live_rows, stock_tbl, days, mode)
     extra = [created_at.alias("created_at")] if created_at is not None else []
-    base = stock_tbl.join(cum, KEYS, "left").select(
-        *KEYS,
-        *extra,
-        F.col("quantity").alias("current_quantity"),
-        F.col("cumulated").isNotNull().alias("has_orders"),
-        *explode_days_and_slices(F.col("cumulated"), days),
-    )
+    totals = _snapshot_totals(stock_tbl, live_rows, check_days(days), mode)
+    base = totals.select(*KEYS, *extra, "current_quantity", "has_orders", F.posexplode("cumulated").alias("day0", "cumulated"))
     return base.select(
         *KEYS,
         *[c for c in ["created_at"] if extra],
@@ -116,33 +116,21 @@ def project_snapshot_records(
 ) -> DataFrame:
     """The snapshot as projection records: store, product, projection struct
     (store, product, created_at, current_quantity, lines), one per stock key."""
-    days = check_days(days)
-    cum = F.coalesce(F.col("cumulated"), F.array_repeat(F.lit(0.0), days))
-    qty = F.col("quantity")
-    lines = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(days - 1)),
-            lambda d: F.array(
-                *[
-                    F.struct((d + 1).alias("day"), F.lit(s).alias("slice"), (qty - cum[d]).alias("quantity"))
-                    for s in SLICES
-                ]
-            ),
-        )
-    )
+
+    def of_day(cumulated, k):
+        left = F.col("current_quantity") - cumulated
+        return F.array(*[F.struct((k + 1).alias("day"), F.lit(s).alias("slice"), left.alias("quantity")) for s in SLICES])
+
     created = created_at if created_at is not None else F.current_timestamp()
-    return (
-        stock_tbl.join(cumulative_demand(live_rows, stock_tbl, days, mode), KEYS, "left")
-        .select(
-            *KEYS,
-            F.struct(
-                "store",
-                "product",
-                created.alias("created_at"),
-                qty.alias("current_quantity"),
-                lines.alias("lines"),
-            ).alias("projection"),
-        )
+    return _snapshot_totals(stock_tbl, live_rows, check_days(days), mode).select(
+        *KEYS,
+        F.struct(
+            "store",
+            "product",
+            created.alias("created_at"),
+            "current_quantity",
+            F.flatten(F.transform("cumulated", of_day)).alias("lines"),
+        ).alias("projection"),
     )
 
 
@@ -179,33 +167,3 @@ def projection_lines_expr(
             ),
         )
     )
-
-
-def projection_record(
-    store: Column,
-    product: Column,
-    created_at: Column,
-    stock_quantity: Column,
-    stock_date: Column,
-    info: Column,
-    days: int,
-    mode: str = PERIOD_DAYS,
-) -> Column:
-    """The full projection struct (store, product, created_at, current_quantity, lines)."""
-    return F.struct(
-        store.alias("store"),
-        product.alias("product"),
-        created_at.alias("created_at"),
-        stock_quantity.alias("current_quantity"),
-        projection_lines_expr(stock_quantity, stock_date, info, days, mode).alias("lines"),
-    )
-
-
-def flatten_projection(df: DataFrame, projection: str = "projection", keep: list[str] | None = None) -> DataFrame:
-    """One row per projection line: keep-columns, current_quantity, day, slice, quantity."""
-    keep = keep or []
-    return df.select(
-        *keep,
-        F.col(f"{projection}.current_quantity").alias("current_quantity"),
-        F.explode(f"{projection}.lines").alias("line"),
-    ).select(*keep, "current_quantity", "line.day", "line.slice", "line.quantity")

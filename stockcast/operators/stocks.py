@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockcast.schemas import KEYS
 
-STOCK_COLUMNS = ["checked_at", "quantity"]
+
+def complete_check() -> Column:
+    """A check the replay and the stream can place: key, times and quantity are known."""
+    known = F.lit(True)
+    for c in (*KEYS, "arrived_at", "checked_at", "quantity"):
+        known = known & F.col(c).isNotNull()
+    return known
 
 
 def stock_table(stocks: DataFrame, arrival: str = "arrived_at") -> DataFrame:

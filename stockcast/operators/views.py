@@ -16,20 +16,22 @@ from pyspark.sql import functions as F
 
 from stockcast.functions.dates import readable_time
 from stockcast.schemas import KEYS
+from stockcast.session import materialize
 
 VIEW_ROWS = 100
 
 # fixed values: the topics of the service and their kind
 INPUT_TOPICS = ["stock-stream", "order-stream"]
-OUTPUT_TOPICS = ["projection-stream"]
-DEBUG_TOPICS = ["projection-on-stock", "projection-on-order", "order-table-output"]
+PROJECTION_TOPIC = "projection-stream"
+PROJECTION_ON_STOCK_TOPIC, PROJECTION_ON_ORDER_TOPIC = "projection-on-stock", "projection-on-order"
+OUTPUT_TOPICS = [PROJECTION_TOPIC]
+DEBUG_TOPICS = [PROJECTION_ON_STOCK_TOPIC, PROJECTION_ON_ORDER_TOPIC, "order-table-output"]
 TOPIC_KINDS = {
     **{t: "Input" for t in INPUT_TOPICS},
     **{t: "Output" for t in OUTPUT_TOPICS},
     **{t: "Debug" for t in DEBUG_TOPICS},
 }
 ALL_TOPICS = INPUT_TOPICS + OUTPUT_TOPICS + DEBUG_TOPICS
-STATE_NAMES = ["stock-table", "order-table"]
 
 
 def topic_kind(topic) -> Column:
@@ -92,19 +94,34 @@ def dual_union(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def asof_left_join(
-    left: DataFrame, right: DataFrame, key: str, time: str, right_cols: list[str]
+    left: DataFrame, right: DataFrame, key: str, time: str, right_cols: list[str], parts: int | None = None
 ) -> DataFrame:
     """For each left row, the latest right row of the same key at or before it
-    (NULLs when none): union both, carry the right values forward with
-    ``last(..., ignorenulls)`` along time, keep the left rows. On a time tie
-    the right row is taken as already seen."""
-    r = right.select(key, time, F.struct(*right_cols).alias("_r"), F.lit(0).alias("_side"))
+    (NULLs when none). On a time tie the right row is taken as already seen; of
+    right rows at the same time the one with the greatest ``right_cols`` counts.
+    A null key or time on either side matches nothing.
+
+    Both sides are cut into ranges of (key, time); the last right row is carried
+    forward inside a key's slice and, by a one-row summary per slice, from
+    slice to slice, so a hot key is spread over its slices."""
+    parts = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = F.col(key).isNotNull() & F.col(time).isNotNull()
+    r = right.where(known).select(key, time, F.struct(*right_cols).alias("_r"), F.lit(0).alias("_side"))
     l_cols = [c for c in left.columns if c not in (key, time)]
     l = left.select(key, time, F.struct(*l_cols).alias("_l"), F.lit(1).alias("_side"))
-    w = Window.partitionBy(key).orderBy(time, "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = l.unionByName(r, allowMissingColumns=True)
+    order = [time, "_side", "_r"]
+    both = l.unionByName(r, allowMissingColumns=True).repartitionByRange(parts, key, *order)
+    w = Window.partitionBy(key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = materialize(
+        both.withColumn("_chunk", F.spark_partition_id()).withColumn("_own", F.last("_r", ignorenulls=True).over(w))
+    )
+    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    latest = F.max(F.when(F.col("_r").isNotNull(), F.struct(time, "_r")))
+    carry = local.where(known).groupBy(key, "_chunk").agg(latest.alias("_m"))
+    carry = carry.select(key, "_chunk", F.max("_m").over(before)["_r"].alias("_in"))
     return (
-        both.withColumn("_seen", F.last("_r", ignorenulls=True).over(w))
-        .where(F.col("_side") == 1)
+        local.where(F.col("_side") == 1)
+        .join(carry, [key, "_chunk"], "left")
+        .withColumn("_seen", F.when(known, F.coalesce("_own", "_in")))
         .select(key, time, "_l.*", *[F.col(f"_seen.{c}").alias(f"right_{c}") for c in right_cols])
     )

@@ -159,19 +159,20 @@ def order_table_changelog(spark, sf_dir):
         Q.fold_states("odd", "fo"),
         Q.live_infos("fo", "lo"),
     )
-    + f"""SELECT DISTINCT store, product, {INFO_FLAT_SQL} FROM (
-  SELECT * FROM le UNION ALL
-  SELECT * FROM lo WHERE (store, product) IN (SELECT store, product FROM le))""",
+    + f"""SELECT store, product, {INFO_FLAT_SQL}, min(side) AS side, arg_min(rn, side) AS rn FROM (
+  SELECT *, 0 AS side FROM le UNION ALL
+  SELECT *, 1 AS side FROM lo WHERE (store, product) IN (SELECT store, product FROM le))
+GROUP BY store, product, {Q.INFO}""",
 )
 def merge_orders(spark, sf_dir):
     """Two order tables (lines of even / odd orders) merged per key: the first
-    table's infos then the second's, without repeats; keys only in the second
-    table stay out (the merge is driven by the first)."""
+    table's infos then the second's, without repeats, with their place in that
+    list; keys only in the second table stay out (the merge is driven by the first)."""
     lines, _ = _inputs(spark, sf_dir)
-    first = O.order_table_rows(lines.where(F.col("order_id") % 2 == 0))
-    second = O.order_table_rows(lines.where(F.col("order_id") % 2 == 1))
+    first = O.order_table_rows(lines.where(F.col("order_id") % 2 == 0), with_rank=True)
+    second = O.order_table_rows(lines.where(F.col("order_id") % 2 == 1), with_rank=True)
     merged = O.merge_order_rows(first, second)
-    return merged.select(*KEYS, *info_flat())
+    return merged.select(*KEYS, *info_flat(), "side", "rn")
 
 
 # ---------------------------------------------------------------- stock
@@ -302,24 +303,26 @@ def projection_lines(spark, sf_dir):
 
 _PD_STOCK = Q.period_days("CAST(checked_at AS DATE)", "CAST(deliver_at AS DATE)")
 _PD_ORDER = Q.period_days("CAST(s_checked AS DATE)", "CAST(deliver_at AS DATE)")
-_REPLAY_CTES = (
-    Q.LINES,
-    Q.STOCK,
-    Q.fold_states("lines", "f"),
-    f"""se AS (
+
+
+def _replay_ctes(arrival: str) -> tuple[str, ...]:
+    """CTEs up to on_stock and on_order, from ``f`` (folded lines, which arrive at
+    ``arrival``) and ``stock``."""
+    return (
+        f"""se AS (
   SELECT s.store, s.product, s.arrived_at, s.checked_at, s.quantity,
          coalesce((SELECT max(rn) FROM f WHERE f.store=s.store AND f.product=s.product
-                   AND f.created_at < s.arrived_at), 0) AS pos
+                   AND f.{arrival} < s.arrived_at), 0) AS pos
   FROM stock s)""",
-    """ses AS (SELECT se.*, f.occ, f.lastempty FROM se LEFT JOIN f
+        """ses AS (SELECT se.*, f.occ, f.lastempty FROM se LEFT JOIN f
            ON f.store=se.store AND f.product=se.product AND f.rn=se.pos)""",
-    """se_live AS (
+        """se_live AS (
   SELECT DISTINCT ses.store, ses.product, ses.arrived_at, ses.checked_at,
          b.quantity, b.order_id, b.created_at, b.deliver_at, b.status
   FROM ses JOIN f b ON b.store=ses.store AND b.product=ses.product AND ses.occ=1
    AND b.rn > ses.lastempty AND b.rn <= ses.pos)""",
-    f"""se_off AS (SELECT store, product, arrived_at, checked_at, quantity AS q, {_PD_STOCK} AS o FROM se_live)""",
-    f"""on_stock AS (
+        f"""se_off AS (SELECT store, product, arrived_at, checked_at, quantity AS q, {_PD_STOCK} AS o FROM se_live)""",
+        f"""on_stock AS (
   SELECT se.store, se.product, 'on_stock' AS branch, epoch_ms(se.arrived_at) AS event_at_ms,
          CAST(NULL AS BIGINT) AS order_id, CAST(NULL AS INTEGER) AS line_no,
          epoch_ms(se.checked_at) AS stock_checked_at_ms, se.quantity AS current_quantity,
@@ -327,26 +330,29 @@ _REPLAY_CTES = (
          se.quantity - coalesce((SELECT sum(q) FROM se_off x WHERE x.store=se.store AND x.product=se.product
               AND x.arrived_at=se.arrived_at AND x.checked_at=se.checked_at AND x.o BETWEEN 0 AND dd.day-1), 0.0) AS quantity
   FROM se CROSS JOIN {Q.day_values(DAYS)} CROSS JOIN {Q.SLICE_VALUES})""",
-    """ns AS (
+        f"""ns AS (
   SELECT f.store, f.product, f.rn, s.checked_at, s.quantity,
          row_number() OVER (PARTITION BY f.store, f.product, f.rn
                             ORDER BY s.checked_at DESC, s.arrived_at DESC, s.quantity DESC) AS k
-  FROM f JOIN stock s ON s.store=f.store AND s.product=f.product AND s.arrived_at <= f.created_at)""",
-    """oe AS (SELECT f.*, ns.checked_at AS s_checked, ns.quantity AS s_qty FROM f JOIN ns
+  FROM f JOIN stock s ON s.store=f.store AND s.product=f.product AND s.arrived_at <= f.{arrival})""",
+        """oe AS (SELECT f.*, ns.checked_at AS s_checked, ns.quantity AS s_qty FROM f JOIN ns
           ON ns.store=f.store AND ns.product=f.product AND ns.rn=f.rn AND ns.k=1)""",
-    """oe_live AS (
+        """oe_live AS (
   SELECT DISTINCT oe.store, oe.product, oe.rn, oe.s_checked, b.quantity, b.order_id, b.created_at, b.deliver_at, b.status
   FROM oe JOIN f b ON b.store=oe.store AND b.product=oe.product
    AND ((oe.occ=1 AND b.rn > oe.lastempty AND b.rn <= oe.rn) OR (oe.occ=0 AND b.rn=oe.rn)))""",
-    f"""oe_off AS (SELECT store, product, rn, quantity AS q, {_PD_ORDER} AS o FROM oe_live)""",
-    f"""on_order AS (
-  SELECT oe.store, oe.product, 'on_order' AS branch, epoch_ms(oe.created_at) AS event_at_ms,
+        f"""oe_off AS (SELECT store, product, rn, quantity AS q, {_PD_ORDER} AS o FROM oe_live)""",
+        f"""on_order AS (
+  SELECT oe.store, oe.product, 'on_order' AS branch, epoch_ms(oe.{arrival}) AS event_at_ms,
          oe.order_id, oe.line_no, epoch_ms(oe.s_checked) AS stock_checked_at_ms, oe.s_qty AS current_quantity,
          CAST(dd.day AS INTEGER) AS day, sl.slice,
          oe.s_qty - coalesce((SELECT sum(q) FROM oe_off x WHERE x.store=oe.store AND x.product=oe.product
               AND x.rn=oe.rn AND x.o BETWEEN 0 AND dd.day-1), 0.0) AS quantity
   FROM oe CROSS JOIN {Q.day_values(DAYS)} CROSS JOIN {Q.SLICE_VALUES})""",
-)
+    )
+
+
+_REPLAY_CTES = (Q.LINES, Q.STOCK, Q.fold_states("lines", "f"), *_replay_ctes("created_at"))
 
 
 def _replay(spark, sf_dir, branches):
@@ -450,20 +456,55 @@ def _flat_decoded_orders(orders):
 
 @register("json_decode_stock", Q.with_(Q.STOCK) + _STOCK_DECODED_SQL)
 def json_decode_stock(spark, sf_dir):
-    """Stock checks → JSON payloads → decoded back (epoch ms → instants)."""
-    good, _ = codec_split(_stock_payloads(spark, sf_dir), C.decode_stock("value"))
+    """Stock checks → a folder of JSON lines → scanned and decoded (epoch ms → instants)."""
+    good, _ = _scanned(spark, _stock_payloads(spark, sf_dir), C.decode_stock())
     return good.select(*KEYS, ms("checked_at"), "quantity")
 
 
 @register("json_decode_order", Q.with_(Q.LINES) + _ORDER_DECODED_SQL)
 def json_decode_order(spark, sf_dir):
-    """Orders → JSON payloads with nested items → decoded, items flattened."""
-    good, _ = codec_split(_order_payloads(spark, sf_dir), C.decode_order("value"))
+    """Orders → a folder of JSON lines with nested items → scanned and decoded, items flattened."""
+    good, _ = _scanned(spark, _order_payloads(spark, sf_dir), C.decode_order())
     return _flat_decoded_orders(good)
 
 
-def codec_split(df, decoded):
-    return C.split_decoded(df, decoded)
+_BROKEN_STOCK = ("""'"quantity":'""", """'"quantity":"x'"""), ("""'"product"'""", """'"item"'"""), ("""'"checkedAt":'""", """'"checkedAt":"zz","was":'""")
+_BROKEN_ORDER = ("""'"createdAt":'""", """'"createdAt":"zz","was":'"""), ("""'"product"'""", """'"item"'"""), ("""'{'""", """'['""")
+
+
+def _broken_sql(value: str, kind: str, ways) -> str:
+    cases = " ".join(f"WHEN {k} THEN replace({value}, {a}, {b})" for k, (a, b) in enumerate(ways, 1))
+    return f"CASE {kind} {cases} ELSE {value} END"
+
+
+@register(
+    "decode_rejects",
+    Q.with_(Q.LINES, Q.STOCK, _ORDERS_JSON_CTE)
+    + f"""SELECT topic, value FROM (
+  SELECT 'stock-stream' AS topic, CAST(quantity AS BIGINT) % 4 AS kind, {_broken_sql(_STOCK_VALUE_SQL, "CAST(quantity AS BIGINT) % 4", _BROKEN_STOCK)} AS value FROM stock
+  UNION ALL SELECT 'order-stream', order_id % 4, {_broken_sql("value", "order_id % 4", _BROKEN_ORDER)} FROM order_json)
+WHERE kind <> 0""",
+)
+def decode_rejects(spark, sf_dir):
+    """Payloads of which three in four are damaged (no number, a field missing, no
+    instant, no JSON object), scanned as JSON lines: the lines that are rejected."""
+    _, stock = _inputs(spark, sf_dir)
+    orders = tables.orders_nested(spark, sf_dir)
+    damaged = lambda kind, ways: F.expr(_broken_sql("value", kind, ways)).alias("value")
+    checks = stock.withColumn("value", C.stock_value_json()).select(damaged("CAST(quantity AS BIGINT) % 4", _BROKEN_STOCK))
+    orders = orders.withColumn("value", C.order_value_json()).select(damaged("order_id % 4", _BROKEN_ORDER))
+    _, no_checks = _scanned(spark, checks, C.decode_stock())
+    _, no_orders = _scanned(spark, orders, C.decode_order())
+    return no_checks.select(F.lit(C.STOCK_TOPIC).alias("topic"), "value").unionByName(
+        no_orders.select(F.lit(C.ORDER_TOPIC).alias("topic"), "value")
+    )
+
+
+def _scanned(spark, payloads, decoded):
+    """(decoded, rejected) of payloads written as JSON lines and scanned."""
+    path = scratch_path(spark, "json-lines")
+    payloads.select("value").write.text(path)
+    return ST.json_lines(spark, path, decoded)
 
 
 @register(
@@ -651,34 +692,37 @@ def categorize_topics(spark, sf_dir):
     return V.categorize(events)
 
 
+def _views_and_others(spark, sf_dir):
+    ev = tables.read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    is_view = F.col("event_type").eqNullSafe("view")
+    return ev.where(is_view).drop("event_type"), ev.where(~is_view).drop("event_type")
+
+
 @register(
     "dual_union",
-    "SELECT event_id, user_id, 'left' AS side FROM events WHERE event_type='view' "
-    "UNION ALL SELECT event_id, user_id, 'right' AS side FROM events WHERE event_type='click'",
+    "SELECT event_id, user_id, CASE WHEN event_type='view' THEN 'left' ELSE 'right' END AS side FROM events",
 )
 def dual_union(spark, sf_dir):
-    """Two-input operation as a merge: view events and click events, one stream."""
-    ev = tables.read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    left = ev.where(F.col("event_type") == "view").drop("event_type")
-    right = ev.where(F.col("event_type") == "click").drop("event_type")
-    return V.dual_union(left, right)
+    """Two-input operation as a merge: view events and all others, one stream."""
+    views, others = _views_and_others(spark, sf_dir)
+    return V.dual_union(views, others).select("event_id", "user_id", "side")
 
 
 @register(
     "dual_asof_join",
-    """SELECT c.event_id, c.user_id,
-       (SELECT v.event_id FROM events v WHERE v.event_type='view' AND v.user_id=c.user_id AND v.ts <= c.ts
-        ORDER BY v.ts DESC LIMIT 1) AS right_event_id
-FROM events c WHERE c.event_type='click'""",
+    """WITH o AS (SELECT * FROM events WHERE event_type IS DISTINCT FROM 'view'),
+seen AS (
+  SELECT o.event_id, v.event_id AS right_event_id,
+         row_number() OVER (PARTITION BY o.event_id ORDER BY v.ts DESC, v.event_id DESC) AS k
+  FROM o JOIN events v ON v.event_type='view' AND v.user_id=o.user_id AND v.ts <= o.ts)
+SELECT o.event_id, o.user_id, seen.right_event_id FROM o LEFT JOIN seen ON seen.event_id=o.event_id AND seen.k=1""",
 )
 def dual_asof_join(spark, sf_dir):
-    """Two-input operation as a keyed as-of left join: each click with the
+    """Two-input operation as a keyed as-of left join: each other event with the
     user's latest view at or before it."""
-    ev = tables.read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
-    clicks = ev.where(F.col("event_type") == "click").select("event_id", "user_id", "ts")
-    views = ev.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")
-    j = V.asof_left_join(clicks, views, "user_id", "ts", ["event_id"])
-    return j.select("event_id", "user_id", F.col("right_event_id"))
+    views, others = _views_and_others(spark, sf_dir)
+    j = V.asof_left_join(others, views, "user_id", "ts", ["event_id"])
+    return j.select("event_id", "user_id", "right_event_id")
 
 
 # ---------------------------------------------------------------- streaming
@@ -712,6 +756,72 @@ def stream_projection(spark, sf_dir):
     )
 
 
+_SINK_SELECT = f"{_STOCK_KEY_SQL} AS key, store, product, current_quantity, day, slice, quantity"
+
+
+@register(
+    "stream_projection_json",
+    Q.with_(*_REPLAY_CTES)
+    + f"""SELECT 'projection-stream' AS topic, {_SINK_SELECT} FROM on_stock
+UNION ALL SELECT 'projection-stream', {_SINK_SELECT} FROM on_order
+UNION ALL SELECT 'projection-on-stock', {_SINK_SELECT} FROM on_stock
+UNION ALL SELECT 'projection-on-order', {_SINK_SELECT} FROM on_order""",
+)
+def stream_projection_json(spark, sf_dir):
+    """The service's topic sinks: projections as key and value JSON, on the
+    projection topic and on their branch's debug topic, read back."""
+    lines, stock = _inputs(spark, sf_dir)
+    base = scratch_path(spark, "stream-sinks")
+    lines.write.parquet(f"{base}/lines")
+    stock.write.parquet(f"{base}/stock")
+    read = spark.readStream
+    proj = SV.projection_stream(read.schema(lines.schema).parquet(f"{base}/lines"), read.schema(stock.schema).parquet(f"{base}/stock"), DAYS)
+    SV.run(SV.sink_records(proj), f"{base}/out", f"{base}/checkpoint", fmt="json").awaitTermination()
+    out = spark.read.schema("topic string, key string, value string").json(f"{base}/out")
+    return (
+        out.select("topic", "key", F.from_json("value", C.PROJECTION_JSON).alias("p"))
+        .select("topic", "key", "p.store", "p.product", F.col("p.currentQuantity").alias("current_quantity"), F.explode("p.lines").alias("l"))
+        .select("topic", "key", *KEYS, "current_quantity", "l.day", "l.slice", "l.quantity")
+    )
+
+
+# fixed values of the topic fixture: the hour a record of an order arrives at,
+# in another order than the orders were created
+ARRIVAL_MULT, ARRIVAL_MOD = 41, 700
+
+
+@register(
+    "service_from_topics",
+    Q.with_(
+        Q.LINES,
+        Q.STOCK,
+        f"""arr AS (
+  SELECT * REPLACE (CAST(row_number() OVER (PARTITION BY order_id ORDER BY line_no, product, quantity) AS INTEGER) AS line_no),
+         {Q.ORIGIN} + INTERVAL '1' HOUR * CAST(order_id*{ARRIVAL_MULT} % {ARRIVAL_MOD} AS INT) AS arrival FROM lines)""",
+        Q.fold_states("arr", "f", "arrival,CAST(order_id AS VARCHAR),line_no,quantity"),
+        *_replay_ctes("arrival"),
+    )
+    + "SELECT * FROM on_stock UNION ALL SELECT * FROM on_order",
+)
+def service_from_topics(spark, sf_dir):
+    """The whole service from its topics: JSON records with their own arrival
+    times, decoded, flattened and projected in arrival order."""
+    use_utc(spark)
+    stock, orders = tables.stock(spark, sf_dir), tables.orders_nested(spark, sf_dir)
+    base = scratch_path(spark, "service-topics")
+    arrival = tables.hours_after_origin(F.col("order_id") * ARRIVAL_MULT % ARRIVAL_MOD)
+    ST.publish(stock, f"{base}/stock", C.stock_key_json(), C.stock_value_json(), F.col("arrived_at"))
+    ST.publish(orders, f"{base}/orders", C.order_key_json(), C.order_value_json(), arrival)
+    checks, _ = ST.stock_stream(ST.file_raw(spark, f"{base}/stock"))
+    decoded, _ = ST.order_stream(ST.file_raw(spark, f"{base}/orders"))
+    proj = SV.projection_stream(O.explode_lines(decoded), checks, DAYS)
+    SV.run(proj, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return SV.flat_lines(spark.read.parquet(f"{base}/out")).select(
+        *KEYS, "branch", ms("event_at"), F.col("order_id").cast("long").alias("order_id"), "line_no", ms("stock_checked_at"),
+        "current_quantity", "day", "slice", "quantity",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.run for k, q in REGISTRY.items()}
 

@@ -19,6 +19,7 @@ ORIGIN_EPOCH_SECONDS = 1609459200
 CREATED_MULT, CREATED_MOD = 37, 672
 DELIVER_MULT, DELIVER_MOD = 53, 1080
 STOCK_SECOND_CHECK_HOURS = 336
+STOCK_LATE_HOURS = 200
 STATUS_BY_ORDER_STATUS = {"F": "DELIVERED", "P": "PREPARED"}  # anything else: CAPTURED
 
 
@@ -80,17 +81,19 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two stock checks per (region, part), every tenth part left out.
+    """Two stock checks per (region, part).
 
-    The second check arrives two weeks later; for every fourth part it is a
+    Checks of every tenth part arrive late, so that orders come before any
+    stock is known. The second check arrives two weeks later; for every fourth part it is a
     late one (its ``checked_at`` is older than the first check's).
     The region side is the 5-row TPC-H dimension, so the product with parts is
     a broadcast of a fixed-size table; the two checks are a constant fan-out.
     """
     use_utc(spark)
     region = read_table(spark, sf_dir, "region").select(F.col("r_name").alias("store"))
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_size").where(F.col("p_partkey") % 10 != 0)
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_size")
     c = F.col("check_no")
+    late_h = F.when(F.col("p_partkey") % 10 == 0, F.lit(STOCK_LATE_HOURS)).otherwise(0)
     checked_h = (
         F.when(c == 0, F.col("p_partkey") % 48)
         .when(F.col("p_partkey") % 4 == 0, F.lit(-120))
@@ -103,7 +106,7 @@ def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
             "store",
             F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("product"),
             "check_no",
-            hours_after_origin(F.lit(STOCK_SECOND_CHECK_HOURS) * c).alias("arrived_at"),
+            hours_after_origin(F.lit(STOCK_SECOND_CHECK_HOURS) * c + late_h).alias("arrived_at"),
             hours_after_origin(checked_h).alias("checked_at"),
             (F.col("p_size") * (10 - 3 * c)).cast("double").alias("quantity"),
         )
