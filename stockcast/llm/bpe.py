@@ -242,6 +242,15 @@ def coder(path: str, pattern: str, memory: int | None = None) -> Coder:
     return _coders[key]
 
 
+def forget() -> None:
+    """Drops the worker's coders. A worker outlives its tasks and any idle one
+    may get the next, so a coder kept by each of them adds up."""
+    _coders.clear()
+    gc.unfreeze()
+    gc.collect()
+    give_back()
+
+
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) for every row. ``path``: a rank file that every
     executor can read at that place."""
@@ -273,7 +282,8 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, memory: int | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, same[, ids]): encodes every
-    text, decodes the ids again and compares. ``memory``: pieces a worker remembers."""
+    text, decodes the ids again and compares. ``memory``: pieces a worker remembers,
+    in one task; by default more, and from task to task."""
 
     def run(batches):
         own = coder(path, pattern, memory)
@@ -296,7 +306,11 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                 cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string(), pa.bool_()))]
                 more = [pa.array(ids_of, pa.list_(pa.int32()))] if with_ids else []
                 yield pa.RecordBatch.from_arrays([part.column(0), *cols, *more], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "same", *(["ids"] if with_ids else [])])
-        give_back()
+        del own
+        if memory:
+            forget()
+        else:
+            give_back()
 
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean"

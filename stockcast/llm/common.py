@@ -44,7 +44,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def give_back() -> None:
-    """Returns freed memory of a Python worker, which outlives its tasks, to the system."""
+    """Returns memory of a Python worker, which outlives its tasks, to the system."""
+    _powers.clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

@@ -25,7 +25,7 @@ table gives an empty result. Extra columns are ignored by ``mix`` and kept by
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -134,27 +134,28 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         .withColumn("prob", share - F.col("whole"))
         .withColumn("ticket", F.xxhash64("doc_id", "size", F.lit("mix")))
         .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit("block")), F.ceil(F.col("n_docs") / BLOCK)))
+        .withColumn("rank", F.col("rank").cast("long"))
     )
     kind = UNIT.format(id=sized.schema["doc_id"].dataType.simpleString())
     unit = unit.select(*(c.split()[0] for c in kind.split(", ")))
 
     def moved(last: bool):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        def run(group: pa.Table) -> pa.Table:
             # large documents first, so that what is left for the landing is small
-            pdf = pdf.sort_values(["size", "ticket", "doc_id"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
-            size = pdf["size"].to_numpy(float)
-            turn = (pdf["ticket"].to_numpy().astype(np.uint64) >> np.uint64(11)) / float(1 << 53)
-            start = pdf["prob"].to_numpy(float)
+            group = group.sort_by([("size", "descending"), ("ticket", "ascending"), ("doc_id", "ascending")])
+            size = group["size"].to_numpy().astype(float)
+            turn = (group["ticket"].to_numpy().view(np.uint64) >> np.uint64(11)) / float(1 << 53)
+            start = group["prob"].to_numpy()
             prob = flight(start, size, turn)
-            pdf["prob"] = landing(start, prob, size) if last else prob
-            return pdf
+            prob = landing(start, prob, size) if last else prob
+            return group.set_column(group.schema.get_field_index("prob"), "prob", pa.array(prob))
 
         return run
 
     blocks = goal.agg(F.max(F.ceil(F.col("n_docs") / BLOCK))).first()[0] or 1
     done = []
     while True:
-        unit = stored(unit.groupBy("rank", "block").applyInPandas(moved(blocks <= 1), kind), "mix-flight")
+        unit = stored(unit.groupBy("rank", "block").applyInArrow(moved(blocks <= 1), kind), "mix-flight")
         if blocks <= 1:
             done.append(unit)
             break

@@ -96,6 +96,7 @@ def column_levels(docs: DataFrame, text: str, n: int) -> np.ndarray:
         at = np.flatnonzero(total)
         for k in range(0, len(at), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(at[k : k + (1 << 16)], pa.int32()), pa.array(total[at[k : k + (1 << 16)]])], ["counter", "count"])
+        give_back()
 
     counts = docs.select(text).mapInArrow(count, "counter int, count long").groupBy("counter").agg(F.sum("count").alias("count"))
     counts = stored(counts, "ngram-counters")
@@ -217,6 +218,7 @@ def _verified(docs: DataFrame, classes: DataFrame, families: DataFrame, n: int,
                     out.append(grams.tobytes())
             at = pa.array(kept, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in ("doc_id", "wn", "w1", "w2")] + [pa.array(out, pa.binary())], ["doc_id", "n", "h1", "h2", "grams"])
+        give_back()
 
     sets = docs.join(wanted, "doc_id").select("doc_id", "text", "wn", "w1", "w2").mapInArrow(full, "doc_id long, n long, h1 long, h2 long, grams binary")
     rows = placed.join(sets, ["doc_id", "n", "h1", "h2"]).select("family", "lv", "i", "up", "j", F.col("doc_id").alias("node"), "side", "grams")
