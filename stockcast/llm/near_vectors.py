@@ -9,7 +9,12 @@ united to one flat graph. Every vector is then searched from the cells' medoids;
 once the search has come in range of the threshold it expands until no vector in
 range is left unvisited. Found pairs are verified by cosine in double
 precision. Each shard audits its recall on sampled vectors against brute force
-and searches again, wider, where it falls short.
+and searches again, wider, where it falls short; where that doesn't help either
+(a group of all but equal vectors, whose links the prune drops), the shard is
+compared whole, in exact products.
+
+Equal unit vectors are one representative with a number of copies: the copies
+link with one another and share all other links, so they need no search.
 
 A pair that several shards hold counts in the first of them alone, so counts add
 up without listing pairs: a shard returns a number of links for each vector and
@@ -18,7 +23,7 @@ searched block against block, so no task holds more than two blocks.
 
 Edge cases: a null label or vector, a zero vector, or one with null or
 non-finite components links with nothing and stays. Repeated rows are vectors
-of their own (linked, as their cosine is 1). A null id never is a component's smallest
+of their own (linked, as their cosine is 1, and counted one by one). A null id never is a component's smallest
 id unless there is no other. An empty table gives an empty result. Extra columns are ignored.
 """
 
@@ -180,6 +185,11 @@ def shard_pairs(x, threshold, seed=11):
     """Yields (query indices, mask of their links) of a shard, verified."""
     rng = np.random.default_rng(seed)
     n = len(x)
+
+    def apart(rows, good):
+        good[np.arange(len(rows)), rows] = False
+        return rows, good
+
     graph, medoids = flat_graph(x, rng)
     beam = BEAM
     audit = rng.choice(n, min(n, AUDIT), replace=False)
@@ -189,6 +199,11 @@ def shard_pairs(x, threshold, seed=11):
         if got.sum() >= RECALL * truth.sum():
             break
         beam *= 2
+    else:  # the graph doesn't lead to them
+        for a in range(0, n, 256):
+            rows = np.arange(a, min(n, a + 256))
+            yield apart(rows, x[rows] @ x.T >= threshold)
+        return
     mask = np.zeros((n, n), bool)
     for a in range(0, n, 256):
         rows = np.arange(a, min(n, a + 256))
@@ -201,8 +216,7 @@ def shard_pairs(x, threshold, seed=11):
         for k in range(0, len(r), 1 << 16):  # verified in double precision
             i, j = r[k : k + (1 << 16)], c[k : k + (1 << 16)]
             good[i, j] = np.einsum("kd,kd->k", x[rows[i]], x[j]) >= threshold
-        good[np.arange(len(rows)), rows] = False
-        yield rows, good
+        yield apart(rows, good)
 
 
 # ------------------------------------------------------------------ the shards
@@ -258,7 +272,9 @@ def near_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str
 
     rows = embeddings.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).alias("v"))
     rows = stored(rows.mapInArrow(units, "row long, vec_id long, label string, d int, unit binary"), "vectors")
-    vectors = rows.where("label is not null and unit is not null")
+    kind = ["label", "d", "unit"]
+    vectors = rows.where("label is not null and unit is not null").groupBy(*kind).agg(F.min("row").alias("row"), F.count("*").alias("copies"), F.min("vec_id").alias("least_id"))
+    vectors = stored(vectors, "vector-kinds")
     sent = spark.sparkContext.broadcast(centres(vectors, threshold))
 
     def assigned(batches):
@@ -268,17 +284,17 @@ def near_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str
             for key in zip(label, d, unit):
                 c = sent.value.get(key[:2])
                 shards.append([0] if c is None else sorted(int(k) for k in np.argsort(-(c @ np.frombuffer(key[2])), kind="stable")[:OVERLAP]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shards, pa.list_(pa.int32()))], ["row", "label", "d", "unit", "shards"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shards, pa.list_(pa.int32()))], ["row", "label", "d", "unit", "copies", "shards"])
 
-    dealt = stored(vectors.select("row", "label", "d", "unit").mapInArrow(assigned, "row long, label string, d int, unit binary, shards array<int>").withColumn("shard", F.explode("shards")), "vector-shards")
+    dealt = stored(vectors.select("row", *kind, "copies").mapInArrow(assigned, "row long, label string, d int, unit binary, copies long, shards array<int>").withColumn("shard", F.explode("shards")), "vector-shards")
     split = dealt.groupBy("label", "d", "shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("m"))
     own = F.pmod(F.xxhash64("row"), F.col("m").cast("long")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")))
-    blocks = dealt.join(split, ["label", "d", "shard"]).withColumn("own", own).withColumn("p", F.explode(others)).select("label", "d", "shard", "p.i", "p.j", "own", "row", "unit", "shards")
+    blocks = dealt.join(split, ["label", "d", "shard"]).withColumn("own", own).withColumn("p", F.explode(others)).select("label", "d", "shard", "p.i", "p.j", "own", "row", "unit", "copies", "shards")
 
     def linked(group: pa.Table) -> pa.Table:
         order = np.argsort(group["row"].to_numpy())
-        row, own = group["row"].to_numpy()[order], group["own"].to_numpy()[order]
+        row, own, copies = (group[c].to_numpy()[order] for c in ("row", "own", "copies"))
         x = np.stack([np.frombuffer(u) for u in group["unit"].to_pylist()])[order]
         held = group["shards"].to_pylist()
         width = max(map(len, held))
@@ -293,7 +309,7 @@ def near_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str
                 good &= ~((shards[None, :, :] == mine[:, None, None]).any(2) & ~other[:, None])
             if across:
                 good &= own[q][:, None] != own[None, :]
-            links[q] += good.sum(1)
+            links[q] += good @ copies
             r, c = np.nonzero(good)
             if len(r):
                 node, root = forest(np.concatenate([row[q[r]], left]), np.concatenate([row[c], right]))
@@ -304,6 +320,9 @@ def near_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str
     found = stored(blocks.groupBy("label", "d", "shard", "i", "j").applyInArrow(linked, "a long, b long, links long"), "vector-links")
     links = found.where("links > 0").groupBy(F.col("a").alias("row")).agg(F.sum("links").alias("n_links"))
     joined = components(found.where("links = 0").select("a", "b")).withColumnRenamed("node", "row")
-    named = stored(rows.select("row", "vec_id").join(links, "row", "left").join(joined, "row", "left").withColumn("component", F.coalesce("component", "row")), "vector-components")
-    least = named.groupBy("component").agg(F.min("vec_id").alias("component_id"))
-    return named.join(least, "component").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    named = vectors.join(links, "row", "left").join(joined, "row", "left").withColumn("component", F.coalesce("component", "row"))
+    named = stored(named.withColumn("n_links", F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).select(*kind, "least_id", "n_links", "component"), "vector-components")
+    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    named = named.join(least, "component").select(*kind, "n_links", "component_id", F.lit(True).alias("usable"))
+    component_id = F.when(F.col("usable"), F.col("component_id")).otherwise(F.col("vec_id"))
+    return rows.join(named, kind, "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component_id.alias("component_id"), F.coalesce(F.col("vec_id") == component_id, F.lit(False)).alias("kept"))

@@ -330,6 +330,21 @@ def test_near_vectors_recall(spark, monkeypatch):
     assert (found <= true).all() and found.sum() >= 0.9 * true.sum() > 0
 
 
+def test_near_vectors_of_large_groups_of_copies(spark):
+    rng = np.random.default_rng(5)
+    one, two = rng.normal(size=(2, 32))
+    near_one = one + rng.normal(size=(20, 32)) * 0.1  # near copies, linked with all copies
+    almost = two * (1 + rng.normal(size=(300, 1)) * 0.3).clip(0.2) + rng.normal(size=(300, 32)) * 1e-9  # not equal to the last bit
+    x = np.concatenate([np.repeat(one[None], 300, 0), near_one, almost, rng.normal(size=(100, 32))])
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").repartition(3)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = u @ u.T >= 0.93
+    got = {r.vec_id: r for r in near_vectors.near_vectors(frame).collect()}
+    assert [got[i].n_links for i in range(len(x))] == (true.sum(1) - 1).tolist()
+    assert {got[i].component_id for i in range(320)} == {0} and {got[i].component_id for i in range(320, 620)} == {320}
+    assert sorted(i for i in got if got[i].kept) == [0, 320, *range(620, 720)]
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     public = pytest.importorskip("public_tokenizers")
