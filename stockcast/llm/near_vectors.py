@@ -1,7 +1,12 @@
 """Embedding near-dedup on a robust-pruned flat graph.
 
 Vectors of equal label (and length) are dealt to overlapping shards: centres
-are fitted on a bounded sample, and each vector goes to its ``OVERLAP`` nearest.
+are fitted on a bounded sample, and each vector goes to its nearest ones. To how
+many is measured for each label: sampled vectors are compared with all vectors
+of the label, and the overlap grows from ``OVERLAP`` until ``RECALL`` of their links,
+in all and of a vector on average, lie in a common shard. Where few links were seen,
+made pairs just at the threshold have to be held as well. A label for which
+``WIDEST`` shards a vector are too few (or cost more than comparing all) is one shard.
 Inside a shard, overlapping cells get a robust-pruned neighbour graph each
 (candidates from greedy search on the graph so far, pruned so that no
 neighbour is reached better through another); the cells' adjacency lists are
@@ -39,7 +44,8 @@ from stockcast.llm.components import components, forest
 
 SAMPLE = 20_000  # vectors that centres are fitted on
 SHARD, BLOCK = 500, 4_096  # vectors a centre is made for; most in a block
-OVERLAP = 2
+OVERLAP, WIDEST = 2, 12  # shards a vector is dealt to, at least and at most
+QUERIES, EVIDENCE = 2048, 64  # vectors a label that audit the dealing; linked ones that are enough
 CELL, DEGREE, BEAM, ALPHA = 512, 24, 48, 1.2
 AUDIT, RECALL = 32, 0.98
 
@@ -236,15 +242,46 @@ def _unit(column: pa.Array):
     return out
 
 
-def centres(vectors: DataFrame, threshold: float) -> dict[tuple, np.ndarray]:
-    """Centres of labels that need more than one shard, from a bounded sample:
-    farthest points first, none within linking range of another."""
+def nearest(x: np.ndarray, c: np.ndarray, m: int) -> np.ndarray:
+    """[vectors, m] numbers of the nearest centres, the nearest first."""
+    return np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :m]
+
+
+def overlap_needed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The overlap at which pairs, given by both sides' nearest centres, first share
+    a shard; one more than the lists are long where they never do."""
+    rank = np.maximum(*np.indices((a.shape[1], b.shape[1]))) + 1
+    out = np.full(len(a), a.shape[1] + 1)
+    for k in range(0, len(a), 4096):
+        same = a[k : k + 4096, :, None] == b[k : k + 4096, None, :]
+        out[k : k + 4096] = np.where(same, rank, a.shape[1] + 1).min((1, 2))
+    return out
+
+
+def overlap_of(seen: np.ndarray, made: np.ndarray, k: int) -> int | None:
+    """Smallest overlap that holds ``RECALL`` of the links. seen[query, o] counts links of
+    the sampled vectors that need overlap o; made: what made pairs at the
+    threshold need. None if no overlap is enough or one shard costs less."""
+    linked = seen[seen.sum(1) > 0]
+    for m in range(OVERLAP, seen.shape[1] - 1):
+        if m * m >= k:  # m shards a vector, each m times as large
+            return None
+        share = linked[:, : m + 1].sum(1) / linked.sum(1)
+        held = not len(linked) or (share.mean() >= RECALL and linked[:, : m + 1].sum() >= RECALL * linked.sum())
+        if held and (len(linked) >= EVIDENCE or (made <= m).mean() >= RECALL):
+            return m
+    return None
+
+
+def centres(vectors: DataFrame, threshold: float) -> dict[tuple, tuple[np.ndarray, int]]:
+    """Centres and overlap of labels that need more than one shard. Centres are from
+    a bounded sample: farthest points first, none within linking range of another."""
     sizes = vectors.groupBy("label", "d").count().where(F.col("count") > SHARD)
-    sample = vectors.join(sizes, ["label", "d"]).orderBy(F.xxhash64("row")).limit(SAMPLE).select("label", "d", "unit", "count").collect()
+    sample = vectors.join(sizes, ["label", "d"]).orderBy(F.xxhash64("row")).limit(SAMPLE).select("label", "d", "row", "unit", "count").collect()
     groups: dict[tuple, list] = {}
     for r in sample:
         groups.setdefault((r.label, r.d), []).append(r)
-    out = {}
+    out, audit = {}, {}
     for key, rows in groups.items():
         x = np.stack([np.frombuffer(r.unit) for r in rows])
         want = -(-rows[0]["count"] // SHARD)
@@ -258,7 +295,50 @@ def centres(vectors: DataFrame, threshold: float) -> dict[tuple, np.ndarray]:
             picked.append(far)
         if len(picked) > OVERLAP:  # fewer would put every vector into every shard
             out[key] = x[picked]
-    return out
+            asked = x[:QUERIES]
+            audit[key] = (x[picked], np.array([r.row for r in rows[:QUERIES]]), asked, nearest(asked, x[picked], WIDEST))
+    if not out:
+        return {}
+    sent = vectors.sparkSession.sparkContext.broadcast(audit)
+
+    def asked_of_all(batches):
+        """Links of the sampled vectors with all of their label, by overlap needed."""
+        audit = sent.value
+        seen = {key: np.zeros((len(held[1]), WIDEST + 2), np.int64) for key, held in audit.items()}
+        for batch in batches:
+            row = batch.column(0).to_numpy()
+            label, d, unit = (batch.column(c).to_pylist() for c in (1, 2, 3))
+            at: dict[tuple, list] = {}
+            for i, key in enumerate(zip(label, d)):
+                if key in audit:
+                    at.setdefault(key, []).append(i)
+            for key, found in at.items():
+                c, asked_row, asked, asked_near = audit[key]
+                x = np.stack([np.frombuffer(unit[i]) for i in found])
+                i, q = np.nonzero((x @ asked.T >= threshold) & (row[found][:, None] != asked_row))
+                hit, i = np.unique(i, return_inverse=True)
+                need = overlap_needed(nearest(x[hit], c, WIDEST)[i], asked_near[q])
+                np.add.at(seen[key], (q, np.minimum(need, WIDEST + 1)), 1)
+        for (label, d), counts in seen.items():
+            q, o = np.nonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([label] * len(q), pa.string()), pa.array([d] * len(q), pa.int32()), pa.array(q.astype(np.int32)), pa.array(o.astype(np.int32)), pa.array(counts[q, o])], ["label", "d", "q", "o", "n"])
+
+    links = vectors.select("row", "label", "d", "unit").mapInArrow(asked_of_all, "label string, d int, q int, o int, n long").groupBy("label", "d", "q", "o").agg(F.sum("n").alias("n")).collect()
+    sent.unpersist()
+    seen = {key: np.zeros((len(audit[key][1]), WIDEST + 2), np.int64) for key in out}
+    for r in links:
+        seen[r.label, r.d][r.q, r.o] = r.n
+    dealt = {}
+    for key, c in out.items():
+        asked, asked_near = audit[key][2:]
+        aside = np.random.default_rng(7).normal(size=asked.shape)
+        aside -= (aside * asked).sum(1, keepdims=True) * asked
+        aside /= np.maximum(np.sqrt((aside * aside).sum(1, keepdims=True)), 1e-300)
+        made = threshold * asked + np.sqrt(max(0.0, 1 - threshold**2)) * aside
+        m = overlap_of(seen[key], overlap_needed(nearest(made, c, WIDEST), asked_near), len(c))
+        if m is not None:
+            dealt[key] = (c, m)
+    return dealt
 
 
 def near_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.93) -> DataFrame:
@@ -282,8 +362,8 @@ def near_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str
             label, d, unit = (batch.column(c).to_pylist() for c in (1, 2, 3))
             shards = []
             for key in zip(label, d, unit):
-                c = sent.value.get(key[:2])
-                shards.append([0] if c is None else sorted(int(k) for k in np.argsort(-(c @ np.frombuffer(key[2])), kind="stable")[:OVERLAP]))
+                c, m = sent.value.get(key[:2], (None, 0))
+                shards.append([0] if c is None else sorted(nearest(np.frombuffer(key[2])[None], c, m)[0].tolist()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shards, pa.list_(pa.int32()))], ["row", "label", "d", "unit", "copies", "shards"])
 
     dealt = stored(vectors.select("row", *kind, "copies").mapInArrow(assigned, "row long, label string, d int, unit binary, copies long, shards array<int>").withColumn("shard", F.explode("shards")), "vector-shards")

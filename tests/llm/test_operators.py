@@ -345,6 +345,33 @@ def test_near_vectors_of_large_groups_of_copies(spark):
     assert sorted(i for i in got if got[i].kept) == [0, 320, *range(620, 720)]
 
 
+def test_near_vectors_of_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "SHARD", 20)  # 200 centres: two shards a vector lose a seventh of the pairs
+    rng = np.random.default_rng(6)
+    u, aside = rng.normal(size=(2, 2000, 64))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    aside -= (aside * u).sum(1, keepdims=True) * u
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    x = np.concatenate([u, 0.935 * u + np.sqrt(1 - 0.935**2) * aside])
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").repartition(4)
+    got = {r.vec_id: r.n_links for r in near_vectors.near_vectors(frame).collect()}
+    true = (x @ x.T >= 0.93).sum(1) - 1
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= true).all() and found.sum() >= 0.96 * true.sum() > 0
+
+
+def test_overlap_grows_until_it_holds():
+    near = near_vectors.overlap_needed(np.array([[0, 1, 2], [0, 1, 2], [0, 1, 2]]), np.array([[0, 3, 4], [3, 1, 4], [3, 4, 5]]))
+    assert near.tolist() == [1, 2, 4]
+    seen = np.zeros((100, near_vectors.WIDEST + 2), int)
+    seen[:, 2], seen[:, 4] = 9, 1
+    assert near_vectors.overlap_of(seen, np.zeros(9), 400) == 4
+    seen[:, -1] = 3  # no overlap is enough: one shard
+    assert near_vectors.overlap_of(seen, np.zeros(9), 400) is None
+    assert near_vectors.overlap_of(np.zeros_like(seen), np.full(9, 3), 400) == 3  # nothing seen: pairs at the threshold
+    assert near_vectors.overlap_of(np.zeros_like(seen), np.full(9, 3), 9) is None  # one shard costs no more
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     public = pytest.importorskip("public_tokenizers")
