@@ -221,12 +221,13 @@ def _verified(docs: DataFrame, classes: DataFrame, families: DataFrame, n: int,
         give_back()
 
     sets = docs.join(wanted, "doc_id").select("doc_id", "text", "wn", "w1", "w2").mapInArrow(full, "doc_id long, n long, h1 long, h2 long, grams binary")
-    rows = placed.join(sets, ["doc_id", "n", "h1", "h2"]).select("family", "lv", "i", "up", "j", F.col("doc_id").alias("node"), "side", "grams")
+    rows = placed.join(sets, ["doc_id", "n", "h1", "h2"]).select("family", "lv", "i", "up", "j", F.col("doc_id").alias("node"), "n", "h1", "h2", "side", "grams")
 
     def product(group: pa.Table) -> pa.Table:
         node, side = group["node"].to_numpy(), group["side"].to_numpy()
-        node, at = np.unique(node, return_index=True)  # a repeated id comes once
-        side = side[at]
+        sets = np.stack([node, *(group[c].to_numpy() for c in ("n", "h1", "h2"))], 1)
+        at = np.unique(sets, axis=0, return_index=True)[1]  # a repeated row comes once, other texts of its id too
+        node, side = node[at], side[at]
         lists = [np.frombuffer(g, _U) for g in group["grams"].take(pa.array(at)).to_pylist()]
         a, b = _block_links(lists, side, num, den)
         if len(a):

@@ -89,6 +89,13 @@ def test_ngram_join(docs, monkeypatch, n, num, den, pairs_upto, block):
     assert [(r.n_shingles > 0, r.component_id) for r in got if r.doc_id is None] == [(True, None)]
 
 
+def test_ngram_join_links_by_each_text_of_an_id(spark):
+    one, two = ([f"{c}{k}" for k in range(100)] for c in "ab")
+    texts = [(1, one), (1, two), (2, [*one, "x"]), (3, [*two, "y"]), (4, ["z", *two])]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in texts], "doc_id long, text string").repartition(2)
+    assert {r.doc_id: r.component_id for r in ngram_join.ngram_join(frame).collect()} == {1: 1, 2: 1, 3: 1, 4: 1}
+
+
 def test_exact_dedup(docs):
     data = rows()
     keep = collections.defaultdict(list)
