@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockcast.llm import bpe, chat, exact_dedup, license_scan, lm_scoring, mixing, near_vectors, ngram_join, pii, quality
+from stockcast.llm import bpe, chat, conversation_repair, exact_dedup, fingerprints, license_scan, lm_scoring, mixing, near_vectors, ngram_join, periodic_runs, pii, quality
 from stockcast.llm.common import LOWER, UPPER, WORD, table
 
 
@@ -59,6 +59,20 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(turns), turns)
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), damage=periodic_runs.repeated_tail)
+    return periodic_runs.run_digests(found)
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1,
     "op2_source_mixing": op2,
@@ -70,6 +84,9 @@ QUERIES = {
     "op8_embedding_near_dedup": op8,
     "op9_byte_bpe": op9,
     "op10_exact_dedup": op10,
+    "op11_conversation_repair": op11,
+    "op12_periodic_runs": op12,
+    "op13_document_fingerprints": op13,
 }
 
 ORACLE_SQL = {
