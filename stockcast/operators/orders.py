@@ -25,8 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockcast.operators.scan import Weighed, before, joined, weighed
 from stockcast.schemas import INFO_FIELDS, KEYS
-from stockcast.session import materialize
 
 # arrival order of order lines inside a key: time, then order, line, quantity
 LINE_ORDER = ["created_at", "order_id", "line_no", "quantity"]
@@ -73,7 +73,7 @@ def nonpositive_orders(orders: DataFrame) -> DataFrame:
     return orders.where(F.exists("items", lambda i: i["quantity"] <= 0))
 
 
-def _complete(order: list[str]) -> Column:
+def complete_line(order: list[str]) -> Column:
     """A line the fold can place: key, arrival time and quantity are known."""
     known = [F.col(c).isNotNull() for c in (*KEYS, order[0], "quantity")]
     return known[0] & known[1] & known[2] & known[3]
@@ -82,52 +82,35 @@ def _complete(order: list[str]) -> Column:
 def rejected_lines(lines: DataFrame, order: list[str] | None = None) -> DataFrame:
     """The lines the fold leaves out, as they are: a null key, arrival time or
     quantity. Together with the folded ones these are all lines."""
-    return lines.where(~_complete(order or LINE_ORDER))
+    return lines.where(~complete_line(order or LINE_ORDER))
 
 
-def cut_ranges(df: DataFrame, order: list, parts: int | None = None) -> DataFrame:
-    """Add ``chunk``: a contiguous slice of each key's arrival order.
+def spans_of(part: Weighed, order: list[str], where: Column | None = None, lane: list[str] | None = None) -> Weighed:
+    """Add the fold's per-row state to the order lines of a part.
 
-    Rows are range-partitioned on the key and the whole arrival order, and the
-    partition's number is the slice. So a hot key, or one second of a bulk load,
-    is spread over as many slices as its share of the rows fills; only rows equal in
-    all those columns stay together. ``parts`` defaults to the shuffle
-    partitions. The result must be materialized before it is used twice, as
-    the range bounds are sampled anew with each evaluation.
-    """
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(parts, *KEYS, *order).withColumn("chunk", F.spark_partition_id().cast("long"))
-
-
-def annotate_spans(lines: DataFrame, order: list[str] | None = None, parts: int | None = None) -> DataFrame:
-    """Add the fold's per-row state to order lines (all but ``rejected_lines``).
-
-    Columns added: ``chunk`` (see ``cut_ranges``), ``rn`` (1-based arrival rank
-    in the key), ``occupied`` (key non-empty after the row), ``span`` (last
-    unoccupied rn up to the row, 0 if none: an occupied row's life span) and
-    ``last_empty`` (the key's last unoccupied rn, 0 if none).
+    Columns added: ``rn`` (1-based arrival rank in the key), ``occupied`` (key
+    non-empty after the row) and ``span`` (last unoccupied rn up to the row, 0 if
+    none: an occupied row's life span).
 
-    Rows are sorted per (key, chunk), never per key. A chunk's rows before its
-    first sync row alternate from the state the chunk is entered in, so both
-    outcomes follow from the row's rank; one summary row per chunk, carried
-    by a small window over the key's chunks, settles which one holds.
+    A chunk's rows before its first sync row alternate from the state the chunk is
+    entered in, so both outcomes follow from the row's rank; one summary row a
+    chunk, scanned along the key's chunks, settles which one holds. Where other
+    rows stand between the lines, ``where`` picks the lines and ``lane`` is the
+    column that keeps the others out of the windows (their values mean nothing).
     """
-    order = order or LINE_ORDER
     q = F.col("quantity")
-    ck = [*KEYS, "chunk"]
-    w_c = Window.partitionBy(*ck).orderBy(*order)
-    run_c = w_c.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = part.window(*(lane or [])).orderBy(*order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    # 1. inside each chunk: local rank, first and last sync row so far, and the
-    #    last unoccupied row after a sync row
+    # inside each chunk: local rank, first and last sync row so far, and the last
+    # unoccupied row after a sync row
     since = 1 + F.col("rn_c") - F.col("last_sync")
-    local = materialize(
-        cut_ranges(lines.where(_complete(order)), order, parts)
-        .withColumn("rn_c", F.row_number().over(w_c).cast("long"))
-        .withColumn("sync", (q > 0) & F.coalesce(F.lag(q).over(w_c) > 0, F.lit(False)))
-        .withColumn("last_sync", F.max(F.when(F.col("sync"), F.col("rn_c"))).over(run_c))
-        .withColumn("first_sync", F.min(F.when(F.col("sync"), F.col("rn_c"))).over(run_c))
-        .withColumn("empty_after", F.max(F.when(since % 2 == 0, F.col("rn_c"))).over(run_c))
+    local = (
+        part.rows.withColumn("rn_c", F.row_number().over(w).cast("long"))
+        .withColumn("sync", (q > 0) & F.coalesce(F.lag(q).over(w) > 0, F.lit(False)))
+        .withColumn("last_sync", F.max(F.when(F.col("sync"), F.col("rn_c"))).over(run))
+        .withColumn("first_sync", F.min(F.when(F.col("sync"), F.col("rn_c"))).over(run))
+        .withColumn("empty_after", F.max(F.when(since % 2 == 0, F.col("rn_c"))).over(run))
         .drop("sync")
     )
 
@@ -136,62 +119,93 @@ def annotate_spans(lines: DataFrame, order: list[str] | None = None, parts: int
         before_sync = alternating - (alternating + F.col("entered")) % 2
         return F.when(before_sync > 0, F.greatest("empty_after", before_sync)).otherwise(F.col("empty_after"))
 
-    # 2. one row per chunk, carried along the key's chunks
-    w_k = Window.partitionBy(*KEYS).orderBy("chunk")
-    before = w_k.rowsBetween(Window.unboundedPreceding, -1)
-    entered_since = 1 + F.col("off") - F.col("synced")
-    carry = (
-        local.groupBy(*ck)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min_by(q, F.col("rn_c")).alias("first_q"),
-            F.max_by(q, F.col("rn_c")).alias("last_q"),
-            F.max("last_sync").alias("last_sync"),
-            F.min("first_sync").alias("first_sync"),
-            F.max("empty_after").alias("empty_after"),
+    def settled(table: DataFrame, line) -> DataFrame:
+        entered_since = 1 + F.col("off") - F.col("synced")
+        return (
+            table.withColumn("off", F.coalesce(F.sum("n").over(before(line)), F.lit(0)).cast("long"))
+            .withColumn("opens", (F.col("first_q") > 0) & F.coalesce(F.lag("last_q").over(line) > 0, F.lit(False)))
+            .withColumn("g", F.greatest(F.col("off") + F.col("last_sync"), F.when(F.col("opens"), F.col("off") + 1)))
+            .withColumn("synced", F.max("g").over(before(line)))
+            # a chunk opening with a sync row goes on as if entered empty
+            .withColumn(
+                "entered",
+                F.when(F.col("opens"), 0).when(F.col("synced").isNull(), F.col("off") % 2).otherwise(entered_since % 2).cast("long"),
+            )
+            .withColumn("m", F.col("off") + last_unoccupied(F.coalesce(F.col("first_sync") - 1, F.col("n"))))
         )
-        .withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long"))
-        .withColumn("opens", (F.col("first_q") > 0) & F.coalesce(F.lag("last_q").over(w_k) > 0, F.lit(False)))
-        .withColumn("g", F.greatest(F.col("off") + F.col("last_sync"), F.when(F.col("opens"), F.col("off") + 1)))
-        .withColumn("synced", F.max("g").over(before))
-        # a chunk opening with a sync row goes on as if entered empty
-        .withColumn(
-            "entered",
-            F.when(F.col("opens"), 0).when(F.col("synced").isNull(), F.col("off") % 2).otherwise(entered_since % 2).cast("long"),
-        )
-        .withColumn("m", F.col("off") + last_unoccupied(F.coalesce(F.col("first_sync") - 1, F.col("n"))))
-        .withColumn("carry_span", F.max("m").over(before))
-        .withColumn("last_empty", F.coalesce(F.max("m").over(Window.partitionBy(*KEYS)), F.lit(0)).cast("long"))
-        .select(*ck, "off", "entered", "carry_span", "last_empty")
+
+    entered = part.with_rows(local).entered(
+        list(part.keys),
+        {
+            "n": F.count(F.lit(1)),
+            "first_q": F.min_by(q, F.col("rn_c")),
+            "last_q": F.max_by(q, F.col("rn_c")),
+            "last_sync": F.max("last_sync"),
+            "first_sync": F.min("first_sync"),
+            "empty_after": F.max("empty_after"),
+        },
+        lambda line: {"carry_span": F.max("m").over(before(line))},
+        {"off": F.lit(0).cast("long"), "entered": F.lit(0).cast("long"), "carry_span": F.lit(None).cast("long")},
+        where,
+        settled,
     )
-    # 3. every row's state from its chunk's entry
+    # every row's state from its chunk's entry
     own_empty = F.col("off") + last_unoccupied(F.coalesce(F.col("first_sync") - 1, F.col("rn_c")))
-    return (
-        local.join(carry, ck)
-        .withColumn("rn", F.col("off") + F.col("rn_c"))
+    return part.with_rows(
+        entered.rows.withColumn("rn", F.col("off") + F.col("rn_c"))
         .withColumn("occupied", F.coalesce(since % 2 == 1, (F.col("entered") + F.col("rn_c")) % 2 == 1))
         .withColumn("span", F.coalesce(F.greatest(F.col("carry_span"), own_empty), F.lit(0)).cast("long"))
         .drop("rn_c", "last_sync", "first_sync", "empty_after", "off", "entered", "carry_span")
     )
 
 
-def annotate_fold(lines: DataFrame, order: list[str] | None = None, parts: int | None = None) -> DataFrame:
-    """``annotate_spans`` plus ``first_in_span``: the first row of its distinct
-    info inside its span. Repeats inside a chunk are settled there; of each info
-    only its first row per chunk meets the others."""
-    spans = annotate_spans(lines, order, parts)
+def last_empty_of(part: Weighed) -> Weighed:
+    """Add ``last_empty``: the key's last unoccupied rn, 0 if none."""
+    own = F.max("span").over(part.window())
+    if part.cut:
+        whole = Window.partitionBy(*part.keys)
+        part = part.entered(list(part.keys), {"_top": F.max("span")}, lambda line: {"_last": F.max("_top").over(whole)}, {"_last": F.lit(None).cast("long")})
+        return part.with_rows(part.rows.withColumn("last_empty", F.coalesce("_last", own)).drop("_last"))
+    return part.with_rows(part.rows.withColumn("last_empty", own))
+
+
+def firsts_of(part: Weighed, lane: list[str] | None = None) -> Weighed:
+    """Add ``first_in_span``: the first row of its distinct info inside its span.
+    Repeats inside a chunk are settled there; of each info of a cut key only its
+    first row per chunk meets the others, which takes an exchange of those."""
     # an unoccupied row has its own rn as span; keep it apart from the span it closes
-    info = [*KEYS, "span", "occupied", *INFO_FIELDS]
-    in_chunk = F.row_number().over(Window.partitionBy(*KEYS, "chunk", *info[len(KEYS):]).orderBy("rn")) == 1
-    overall = F.row_number().over(Window.partitionBy(*info, "repeat").orderBy("rn")) == 1
-    return (
-        spans.withColumn("first_c", in_chunk)
+    info = ["span", "occupied", *INFO_FIELDS, *(lane or [])]
+    in_chunk = F.row_number().over(part.window(*info).orderBy("rn")) == 1
+    if not part.cut:
+        return part.with_rows(part.rows.withColumn("first_in_span", in_chunk))
+    overall = F.row_number().over(Window.partitionBy(*part.keys, *info, "repeat").orderBy("rn")) == 1
+    return part.with_rows(
+        part.rows.withColumn("first_c", in_chunk)
         .withColumn("repeat", F.when(~F.col("first_c"), F.col("rn")))
         .withColumn("first_in_span", F.col("first_c") & overall)
         .drop("first_c", "repeat")
     )
 
 
+def folded(lines: DataFrame, order: list[str] | None = None, parts: int | None = None) -> list[Weighed]:
+    """The lines the fold can place, by the weight of their key, with their spans."""
+    order = order or LINE_ORDER
+    return [spans_of(p, order) for p in weighed(lines.where(complete_line(order)), KEYS, order, parts)]
+
+
+def annotate_spans(lines: DataFrame, order: list[str] | None = None, parts: int | None = None) -> DataFrame:
+    """Add the fold's per-row state to order lines (all but ``rejected_lines``):
+    ``spans_of`` plus ``last_empty`` and ``chunk``, the piece of a heavy key's arrival
+    order (0 for others). ``parts`` tasks share the rows; the shuffle partitions if
+    not given."""
+    return joined([last_empty_of(p).rows for p in folded(lines, order, parts)])
+
+
+def annotate_fold(lines: DataFrame, order: list[str] | None = None, parts: int | None = None) -> DataFrame:
+    """``annotate_spans`` plus ``first_in_span`` (see ``firsts_of``)."""
+    return joined([firsts_of(last_empty_of(p)).rows for p in folded(lines, order, parts)])
+
+
 def order_table_rows(
     lines: DataFrame, order: list[str] | None = None, with_rank: bool = False, parts: int | None = None
 ) -> DataFrame:
@@ -201,9 +215,11 @@ def order_table_rows(
 
     Rows after the key's last unoccupied row form its current life span; the
     distinct infos there are the live set."""
-    live = annotate_spans(lines, order, parts).where(F.col("rn") > F.col("last_empty"))
-    found = live.groupBy(*KEYS, *INFO_FIELDS).agg(F.min("rn").alias("rn"))
-    return found if with_rank else found.drop("rn")
+    found = []
+    for part in folded(lines, order, parts):
+        live = last_empty_of(part).rows.where(F.col("rn") > F.col("last_empty"))
+        found.append(live.groupBy(*KEYS, *INFO_FIELDS).agg(F.min("rn").alias("rn")))
+    return joined(found) if with_rank else joined(found).drop("rn")
 
 
 def live_totals(lines: DataFrame, order: list[str] | None = None, parts: int | None = None) -> DataFrame:
@@ -211,25 +227,25 @@ def live_totals(lines: DataFrame, order: list[str] | None = None, parts: int | N
     summed quantity of the span's distinct infos up to the row. The running
     values are taken per chunk; a chunk adds the totals of the span's
     earlier chunks, so a long span is never one task."""
-    folded = materialize(annotate_fold(lines, order, parts))
     fresh = F.col("first_in_span") & F.col("occupied")
     one, amount = F.when(fresh, 1).otherwise(0), F.when(fresh, F.col("quantity")).otherwise(0.0)
-    span = [*KEYS, "span"]
-    run = Window.partitionBy(*KEYS, "chunk", "span").orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy(*span).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        folded.groupBy(*span, "chunk")
-        .agg(F.sum(one).alias("n"), F.sum(amount).alias("q"))
-        .select(*span, "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_in"), F.coalesce(F.sum("q").over(before), F.lit(0.0)).alias("q_in"))
-    )
-    return (
-        folded.withColumn("n_c", F.sum(one).over(run))
-        .withColumn("q_c", F.sum(amount).over(run))
-        .join(carry, [*span, "chunk"])
-        .withColumn("info_count", F.col("n_in") + F.col("n_c"))
-        .withColumn("live_quantity", F.col("q_in") + F.col("q_c"))
-        .drop("n_in", "n_c", "q_in", "q_c")
-    )
+    out = []
+    for part in folded(lines, order, parts):
+        part = firsts_of(last_empty_of(part))
+        run = part.window("span").orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        part = part.with_rows(part.rows.withColumn("n_c", F.sum(one).over(run)).withColumn("q_c", F.sum(amount).over(run)))
+        part = part.entered(
+            [*KEYS, "span"],
+            {"n": F.sum(one), "q": F.sum(amount)},
+            lambda line: {"n_in": F.sum("n").over(before(line)), "q_in": F.sum("q").over(before(line))},
+            {"n_in": F.lit(0).cast("long"), "q_in": F.lit(0.0)},
+        )
+        out.append(
+            part.rows.withColumn("info_count", F.col("n_in") + F.col("n_c"))
+            .withColumn("live_quantity", F.col("q_in") + F.col("q_c"))
+            .drop("n_in", "n_c", "q_in", "q_c")
+        )
+    return joined(out)
 
 
 def order_table_changelog(lines: DataFrame, order: list[str] | None = None, parts: int | None = None) -> DataFrame:

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockcast.functions.dates import readable_time
+from stockcast.operators.scan import before, joined, weighed
 from stockcast.schemas import KEYS
-from stockcast.session import materialize
 
 VIEW_ROWS = 100
 
@@ -101,27 +101,26 @@ def asof_left_join(
     right rows at the same time the one with the greatest ``right_cols`` counts.
     A null key or time on either side matches nothing.
 
-    Both sides are cut into ranges of (key, time); the last right row is carried
-    forward inside a key's slice and, by a one-row summary per slice, from
-    slice to slice, so a hot key is spread over its slices."""
-    parts = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    Both sides are exchanged once on the key; a key with more than a task's share of the
+    rows is cut along its time (``operators.scan``) and what was last seen is
+    carried from chunk to chunk."""
     known = F.col(key).isNotNull() & F.col(time).isNotNull()
     r = right.where(known).select(key, time, F.struct(*right_cols).alias("_r"), F.lit(0).alias("_side"))
     l_cols = [c for c in left.columns if c not in (key, time)]
     l = left.select(key, time, F.struct(*l_cols).alias("_l"), F.lit(1).alias("_side"))
     order = [time, "_side", "_r"]
-    both = l.unionByName(r, allowMissingColumns=True).repartitionByRange(parts, key, *order)
-    w = Window.partitionBy(key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = materialize(
-        both.withColumn("_chunk", F.spark_partition_id()).withColumn("_own", F.last("_r", ignorenulls=True).over(w))
-    )
-    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    latest = F.max(F.when(F.col("_r").isNotNull(), F.struct(time, "_r")))
-    carry = local.where(known).groupBy(key, "_chunk").agg(latest.alias("_m"))
-    carry = carry.select(key, "_chunk", F.max("_m").over(before)["_r"].alias("_in"))
-    return (
-        local.where(F.col("_side") == 1)
-        .join(carry, [key, "_chunk"], "left")
-        .withColumn("_seen", F.when(known, F.coalesce("_own", "_in")))
-        .select(key, time, "_l.*", *[F.col(f"_seen.{c}").alias(f"right_{c}") for c in right_cols])
-    )
+    seen = [F.col(f"_seen.{c}").alias(f"right_{c}") for c in right_cols]
+    out = []
+    for part in weighed(l.where(known).unionByName(r, allowMissingColumns=True), [key], order, parts):
+        run = part.window().orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        part = part.with_rows(part.rows.withColumn("_own", F.last("_r", ignorenulls=True).over(run)))
+        part = part.entered(
+            [key],
+            {"_last": F.max(F.when(F.col("_side") == 0, F.struct(time, "_r")))},
+            lambda chunks: {"_in": F.max("_last").over(before(chunks))["_r"]},
+            {"_in": F.lit(None).cast(r.schema["_r"].dataType)},
+        )
+        rows = part.rows.where(F.col("_side") == 1).withColumn("_seen", F.coalesce("_own", "_in"))
+        out.append(rows.select(key, time, "_l.*", *seen))
+    unplaced = l.where(~known).withColumn("_seen", F.lit(None).cast(r.schema["_r"].dataType))
+    return joined([*out, unplaced.select(key, time, "_l.*", *seen)])

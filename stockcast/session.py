@@ -58,7 +58,6 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="stockcast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
