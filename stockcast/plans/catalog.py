@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockcast.functions.dates import CALENDAR_DAYS, PERIOD_DAYS, day_offset, readable_time
+from stockcast.operators import history as H
 from stockcast.operators import orders as O
 from stockcast.operators import projection as P
 from stockcast.operators import replay as R
@@ -413,6 +414,61 @@ def order_merged_with_table(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------- the order table in time
+
+_FIRSTS = f"""firsts AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY store, product, lastempty, {Q.INFO} ORDER BY rn) AS k FROM f WHERE occ = 1)
+  WHERE k = 1)"""
+
+
+@register(
+    "order_table_history",
+    Q.with_(Q.LINES, Q.fold_states("lines", "f"), _FIRSTS)
+    + f"""SELECT a.store, a.product, {INFO_FLAT_SQL.replace("quantity, order_id", "a.quantity, a.order_id").replace("(created_at", "(a.created_at").replace("(deliver_at", "(a.deliver_at").replace(", status", ", a.status")},
+  a.rn AS from_rn, epoch_ms(a.created_at) AS from_at_ms, min(e.rn) AS to_rn, epoch_ms(arg_min(e.created_at, e.rn)) AS to_at_ms
+FROM firsts a LEFT JOIN f e ON e.store = a.store AND e.product = a.product AND e.occ = 0 AND e.rn > a.rn
+GROUP BY a.store, a.product, a.rn, a.quantity, a.order_id, a.created_at, a.deliver_at, a.status""",
+)
+def order_table_history(spark, sf_dir):
+    """The order table as a temporal table: every info with the lines and instants between which it held."""
+    lines, _ = _inputs(spark, sf_dir)
+    return H.order_table_history(lines).select(*KEYS, *info_flat(), "from_rn", ms("from_at"), "to_rn", ms("to_at"))
+
+
+@register(
+    "order_table_as_of",
+    Q.with_(Q.LINES, Q.STOCK, Q.fold_states("lines", "f"))
+    + f""", pos AS (
+  SELECT s.store, s.product, s.check_no, s.arrived_at, max(f.rn) AS pos FROM stock s
+  JOIN f ON f.store = s.store AND f.product = s.product AND f.created_at <= s.arrived_at GROUP BY ALL)
+SELECT p.store, p.product, p.check_no, epoch_ms(p.arrived_at) AS at_ms, b.quantity, b.order_id, epoch_ms(b.created_at) AS created_at_ms,
+  epoch_ms(b.deliver_at) AS deliver_at_ms, b.status, min(b.rn) AS from_rn
+FROM pos p JOIN f a ON a.store = p.store AND a.product = p.product AND a.rn = p.pos AND a.occ = 1
+JOIN f b ON b.store = a.store AND b.product = a.product AND b.rn > a.lastempty AND b.rn <= a.rn
+GROUP BY p.store, p.product, p.check_no, p.arrived_at, b.quantity, b.order_id, b.created_at, b.deliver_at, b.status""",
+)
+def order_table_as_of(spark, sf_dir):
+    """The order table of its key at the instant of each stock check."""
+    lines, stock = _inputs(spark, sf_dir)
+    found = H.order_table_as_of(lines, stock.select(*KEYS, F.col("arrived_at").alias("at"), "check_no"))
+    return found.select(*KEYS, "check_no", ms("at"), *info_flat(), "from_rn")
+
+
+@register(
+    "order_merged_infos",
+    Q.with_(Q.LINES, Q.fold_states("lines", "f"))
+    + f"""SELECT a.store, a.product, a.rn, a.order_id AS line_order_id, a.line_no, b.quantity, b.order_id, epoch_ms(b.created_at) AS created_at_ms,
+  epoch_ms(b.deliver_at) AS deliver_at_ms, b.status, bool_or(b.rn = a.rn) AS own, min(b.rn) AS from_rn
+FROM f a JOIN f b ON a.store = b.store AND a.product = b.product
+ AND ((a.occ = 1 AND b.rn > a.lastempty AND b.rn <= a.rn) OR (a.occ = 0 AND b.rn = a.rn))
+GROUP BY a.store, a.product, a.rn, a.order_id, a.line_no, b.quantity, b.order_id, b.created_at, b.deliver_at, b.status""",
+)
+def order_merged_infos(spark, sf_dir):
+    """Every line with the merged infos it is projected with: its own, then the table's in order."""
+    lines, _ = _inputs(spark, sf_dir)
+    return H.merged_infos(lines).select(*KEYS, "rn", "line_order_id", "line_no", *info_flat(), "own", "from_rn")
+
+
 # ---------------------------------------------------------------- codec and keys
 
 _STOCK_KEY_SQL = """'{"store":"' || store || '","product":"' || product || '"}'"""
