@@ -26,10 +26,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockcast.operators.scan import Weighed, before, joined, weighed
-from stockcast.schemas import INFO_FIELDS, KEYS
+from stockcast.schemas import INFO_FIELDS, KEYS, PLACE
 
 # arrival order of order lines inside a key: time, then order, line, quantity
 LINE_ORDER = ["created_at", "order_id", "line_no", "quantity"]
+# arrival order of lines that come from a topic: the record's time and place, then as above
+TOPIC_ORDER = ["arrived_at", *PLACE, "order_id", "line_no", "quantity"]
 
 
 def explode_lines(orders: DataFrame) -> DataFrame:
@@ -37,9 +39,10 @@ def explode_lines(orders: DataFrame) -> DataFrame:
 
     An order with no items gives no row (``explode``, not ``explode_outer``).
     Items may carry a ``line_no``; otherwise the 1-based position is used.
-    An ``arrived_at`` of the order (its record's arrival) goes along.
+    An ``arrived_at`` of the order (its record's arrival) and the record's place in its
+    topic go along.
     """
-    arrival = [c for c in ("arrived_at",) if c in orders.columns]
+    arrival = [c for c in ("arrived_at", *PLACE) if c in orders.columns]
     item_fields = orders.schema["items"].dataType.elementType.fieldNames()
     line_no = F.col("item.line_no") if "line_no" in item_fields else (F.col("pos") + 1).cast("int")
     return orders.select(

@@ -24,8 +24,9 @@ VIEW_ROWS = 100
 INPUT_TOPICS = ["stock-stream", "order-stream"]
 PROJECTION_TOPIC = "projection-stream"
 PROJECTION_ON_STOCK_TOPIC, PROJECTION_ON_ORDER_TOPIC = "projection-on-stock", "projection-on-order"
+ORDER_TABLE_TOPIC = "order-table-output"
 OUTPUT_TOPICS = [PROJECTION_TOPIC]
-DEBUG_TOPICS = [PROJECTION_ON_STOCK_TOPIC, PROJECTION_ON_ORDER_TOPIC, "order-table-output"]
+DEBUG_TOPICS = [PROJECTION_ON_STOCK_TOPIC, PROJECTION_ON_ORDER_TOPIC, ORDER_TABLE_TOPIC]
 TOPIC_KINDS = {
     **{t: "Input" for t in INPUT_TOPICS},
     **{t: "Output" for t in OUTPUT_TOPICS},

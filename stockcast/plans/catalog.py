@@ -841,6 +841,61 @@ def stream_projection_json(spark, sf_dir):
     )
 
 
+def _topics_of(spark, lines, stock, name):
+    """The service with its changelog, run over its inputs as Parquet drops into topic
+    files; the records it sent."""
+    base = scratch_path(spark, name)
+    lines.write.parquet(f"{base}/lines")
+    stock.write.parquet(f"{base}/stock")
+    read = spark.readStream
+    events = SV.service_events(
+        read.schema(lines.schema).parquet(f"{base}/lines"), read.schema(stock.schema).parquet(f"{base}/stock"), DAYS, changelog=True
+    )
+    SV.run_to_topics(SV.topic_records(events), f"{base}/topics", f"{base}/checkpoint").awaitTermination()
+    return ST.topic_files(spark, f"{base}/topics")
+
+
+@register(
+    "stream_changelog",
+    Q.with_(Q.LINES, Q.fold_states("lines", "f"))
+    + f"""
+, pairs AS (
+  SELECT DISTINCT a.store, a.product, a.rn, b.quantity, b.order_id, b.created_at, b.deliver_at, b.status
+  FROM f a JOIN f b ON a.store=b.store AND a.product=b.product AND a.occ=1
+   AND b.rn > a.lastempty AND b.rn <= a.rn),
+agg AS (SELECT store, product, rn, count(*) AS n, sum(quantity) AS q, string_agg(CAST(order_id AS VARCHAR), ',' ORDER BY order_id, quantity) AS orders
+  FROM pairs GROUP BY store, product, rn)
+SELECT {_STOCK_KEY_SQL.replace("store ||", "f.store ||").replace("product ||", "f.product ||")} AS key, f.occ=0 AS deleted, agg.n AS info_count, agg.q AS live_quantity, agg.orders
+FROM f LEFT JOIN agg ON f.store=agg.store AND f.product=agg.product AND f.rn=agg.rn""",
+)
+def stream_changelog(spark, sf_dir):
+    """The live changelog of the order table: a record a line on its topic, the key's infos
+    after it, NULL where the line emptied the key; read back from the topic."""
+    lines, stock = _inputs(spark, sf_dir)
+    records = _topics_of(spark, lines, stock, "stream-changelog").where(F.col("topic") == V.ORDER_TABLE_TOPIC)
+    info = F.from_json("value", C.ORDER_STOCK_JSON)["info"]
+    ids = F.transform(F.array_sort(F.transform(info, lambda i: F.struct(i["orderId"].cast("long").alias("o"), i["quantity"]))), lambda i: i["o"].cast("string"))
+    return records.select(
+        "key",
+        F.col("value").isNull().alias("deleted"),
+        F.when(F.col("value").isNotNull(), F.size(info).cast("long")).alias("info_count"),
+        F.aggregate(info, F.lit(0.0), lambda a, i: a + i["quantity"]).alias("live_quantity"),
+        F.array_join(ids, ",").alias("orders"),
+    )
+
+
+@register(
+    "table_from_changelog",
+    Q.with_(Q.LINES, Q.fold_states("lines", "f"), Q.live_infos("f", "live"))
+    + f"SELECT store, product, {INFO_FLAT_SQL.replace('order_id,', 'CAST(order_id AS VARCHAR) AS order_id,')} FROM live",
+)
+def table_from_changelog(spark, sf_dir):
+    """The order table rebuilt from its changelog topic alone: the newest record a key, NULLs gone."""
+    lines, stock = _inputs(spark, sf_dir)
+    records = _topics_of(spark, lines, stock, "changelog-compaction")
+    return SV.order_table_from_changelog(records).select(*KEYS, *info_flat())
+
+
 # fixed values of the topic fixture: the hour a record of an order arrives at,
 # in another order than the orders were created
 ARRIVAL_MULT, ARRIVAL_MOD = 41, 700
@@ -878,6 +933,48 @@ def service_from_topics(spark, sf_dir):
     )
 
 
+# fixed values of the offset fixture: the partitions of the order topic, and the
+# offset that order 0 would have; later orders come earlier
+OFFSET_PARTITIONS, OFFSET_TOP = 4, 1 << 40
+
+
+@register(
+    "service_by_offset",
+    Q.with_(
+        Q.LINES,
+        Q.STOCK,
+        f"""arr AS (
+  SELECT * REPLACE (CAST(row_number() OVER (PARTITION BY order_id ORDER BY line_no, product, quantity) AS INTEGER) AS line_no),
+         {Q.ORIGIN} + INTERVAL '1' DAY * CAST(order_id*{ARRIVAL_MULT} % {ARRIVAL_MOD} // 24 AS INT) AS arrival,
+         order_id % {OFFSET_PARTITIONS} AS part, {OFFSET_TOP} - order_id AS off FROM lines)""",
+        Q.fold_states("arr", "f", "arrival,part,off,line_no,quantity"),
+        *_replay_ctes("arrival"),
+    )
+    + "SELECT * FROM on_stock UNION ALL SELECT * FROM on_order",
+)
+def service_by_offset(spark, sf_dir):
+    """The service from topics whose records share the instant of their day: lines arrive
+    by their record's place, against the order of their order ids."""
+    use_utc(spark)
+    stock, orders = tables.stock(spark, sf_dir), tables.orders_nested(spark, sf_dir)
+    base = scratch_path(spark, "service-offsets")
+    hour = F.col("order_id") * ARRIVAL_MULT % ARRIVAL_MOD
+    day = tables.hours_after_origin(F.floor(hour / 24) * 24)
+    ST.publish(stock, f"{base}/stock", C.stock_key_json(), C.stock_value_json(), F.col("arrived_at"))
+    ST.publish(
+        orders, f"{base}/orders", C.order_key_json(), C.order_value_json(), day,
+        partition=F.col("order_id") % OFFSET_PARTITIONS, offset=F.lit(OFFSET_TOP) - F.col("order_id"),
+    )
+    checks, _ = ST.stock_stream(ST.file_raw(spark, f"{base}/stock"))
+    decoded, _ = ST.order_stream(ST.file_raw(spark, f"{base}/orders"))
+    proj = SV.projection_stream(O.explode_lines(decoded), checks, DAYS)
+    SV.run(proj, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return SV.flat_lines(spark.read.parquet(f"{base}/out")).select(
+        *KEYS, "branch", ms("event_at"), F.col("order_id").cast("long").alias("order_id"), "line_no", ms("stock_checked_at"),
+        "current_quantity", "day", "slice", "quantity",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.run for k, q in REGISTRY.items()}
 

@@ -7,6 +7,8 @@ names and encodes instants as epoch milliseconds (see ``functions.codec``).
 from pyspark.sql import types as T
 
 KEYS = ["store", "product"]
+#: A record's place in its topic. Both inputs are keyed topics: a place never repeats.
+PLACE = ["partition", "offset"]
 
 # fixed values: order states and projection slices
 ORDER_STATES = ["CAPTURED", "PREPARED", "DELIVERED", "CANCELED"]
