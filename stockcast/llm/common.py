@@ -43,6 +43,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], by: str, pieces: int = 64) -> DataFrame:
+    """Left join of ``rows`` with a table of unique ``keys``, where one key may hold any
+    share of the rows: the table's row goes to each (key, piece of its rows) first, so
+    that the rows of a key are dealt over ``pieces`` join keys. ``by`` deals them."""
+    dealt = rows.withColumn("_piece", F.pmod(F.xxhash64(by), F.lit(pieces)))
+    wanted = dealt.select(*keys, "_piece").distinct()
+    return dealt.join(wanted.join(table, keys), [*keys, "_piece"], "left").drop("_piece")
+
+
 def give_back() -> None:
     """Returns memory of a Python worker, which outlives its tasks, to the system."""
     _powers.clear()

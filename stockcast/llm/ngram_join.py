@@ -13,7 +13,8 @@ component (smallest id reachable). How it runs:
    pair must share one of them. Overlap counts are accumulated per pair over
    these columns, cut into blocks by size, and pairs whose size-derived bound
    cannot reach the threshold are discarded. A block that many classes share
-   emits no pairs but a star, which puts all of its classes into one family.
+   emits no pairs but a star around the token's smallest class, which puts all of
+   its classes into one family.
 4. Surviving pairs and stars form families (connected candidates). Within a
    family the whole sets are multiplied: blocks of classes against blocks of
    the same or the next size level, sizes farther apart cannot link. A block
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockcast.llm.common import give_back, mixed, stored, word_runs
+from stockcast.llm.common import give_back, mixed, spread_join, stored, word_runs
 from stockcast.llm.components import components, forest
 
 COUNTER_BITS = 18
@@ -146,14 +147,14 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # Product over the indexed columns: (token, class) entries, of each class's first row.
     entries = some.select("seq", "n", "prefix").join(classes.select("seq", "node"), "seq").select(F.explode("prefix").alias("token"), "node", F.col("n").cast("int"))
-    often = entries.groupBy("token").agg(F.count("*").alias("g")).where("g > 1").select("token")
+    often = entries.groupBy("token").agg(F.count("*").alias("g"), F.min("node").alias("hub")).where("g > 1").select("token", "hub")
     # Linked sizes are at most one level apart: a token's column is cut by level,
     # and a class stands in the blocks of its own and the next level.
     level = size_level("n", num, den)
     entries = entries.join(often, "token").withColumn("lv", level).withColumn("b", F.explode(F.array(F.col("lv"), F.col("lv") + 1)))
-    column = entries.groupBy("token", "b").agg(F.count("*").alias("g"), F.min("node").alias("hub")).where("g > 1")
+    column = entries.groupBy("token", "b").agg(F.count("*").alias("g")).where("g > 1")
     entries = stored(entries.join(column, ["token", "b"]), "ngram-entries")
-    star = entries.where((F.col("g") > PAIRS_UPTO) & (F.col("node") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    star = entries.where((F.col("g") > PAIRS_UPTO) & (F.col("node") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
     small = entries.where(F.col("g") <= PAIRS_UPTO)
     x = small.select("token", "b", F.col("node").alias("a"), F.col("n").alias("na"), F.col("lv").alias("la")).alias("x")
     y = small.select("token", "b", F.col("node").alias("c"), F.col("n").alias("nc"), F.col("lv").alias("lc")).alias("y")
@@ -172,8 +173,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = stored(components(links), "ngram-components")
     named = classes.drop("seq").join(joined, "node", "left").select("n", "h1", "h2", F.coalesce("component", "node").alias("component_id"))
     return (
-        rows.select("doc_id", "n", "h1", "h2")
-        .join(named, ["n", "h1", "h2"], "left")
+        spread_join(rows.select("doc_id", "seq", "n", "h1", "h2"), named, ["n", "h1", "h2"], "seq")
         .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id")).alias("component_id"))
     )
 
@@ -204,7 +204,7 @@ def _verified(docs: DataFrame, classes: DataFrame, families: DataFrame, n: int,
             F.when(F.col("ahead") > 0, F.transform(upto(F.col("ahead")), lambda j: block(lv - 1, j, 1, i, 2))).otherwise(none),
         )
     )
-    placed = member.withColumn("level", level).join(parts, ["family", "level"]).withColumn("own", own).select("doc_id", "family", "n", "h1", "h2", F.explode(placed).alias("p")).select("doc_id", "family", "n", "h1", "h2", "p.*")
+    placed = spread_join(member.withColumn("level", level), parts, ["family", "level"], "doc_id").withColumn("own", own).select("doc_id", "family", "n", "h1", "h2", F.explode(placed).alias("p")).select("doc_id", "family", "n", "h1", "h2", "p.*")
     wanted = member.select("doc_id", F.col("n").alias("wn"), F.col("h1").alias("w1"), F.col("h2").alias("w2"))
 
     def full(batches):
