@@ -156,6 +156,15 @@ def _chunk(at: Column) -> Column:
     return F.when(block <= 0, 0).otherwise(base + reached(F.slice("_cuts", base + 1, F.col("_step"))))
 
 
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], by: list[str], pieces: int = 64) -> DataFrame:
+    """Left join of ``rows`` with a table of unique ``keys``, where one key may hold any
+    share of the rows: the table's row goes to each (key, piece of its rows) first, so
+    that the rows of a key are dealt over ``pieces`` join keys. ``by`` deals them."""
+    dealt = rows.withColumn("_piece", F.pmod(F.xxhash64(*by), F.lit(pieces)))
+    wanted = dealt.select(*keys, "_piece").distinct()
+    return dealt.join(wanted.join(table, keys), [*keys, "_piece"], "left").drop("_piece")
+
+
 def joined(parts: list[DataFrame]) -> DataFrame:
     """The results of the parts, which hold disjoint keys, as one frame."""
     out = parts[0]

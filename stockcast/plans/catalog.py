@@ -24,6 +24,7 @@ from stockcast.operators import views as V
 from stockcast.functions import codec as C
 from stockcast.functions import text as TX
 from stockcast.sources import streams as ST
+from stockcast.streaming import native as NV
 from stockcast.streaming import service as SV
 from stockcast.plans import oracle as Q
 from stockcast.schemas import DEFAULT_DAYS, INFO_FIELDS, KEYS
@@ -812,6 +813,29 @@ def stream_projection(spark, sf_dir):
     )
 
 
+@register("stream_projection_native", Q.with_(*_REPLAY_CTES) + "SELECT * FROM on_stock UNION ALL SELECT * FROM on_order")
+def stream_projection_native(spark, sf_dir):
+    """The service as micro-batches of the batch replay, in two runs that share state: the
+    events up to the second check's time, then the rest; must equal the whole replay."""
+    lines, stock = _inputs(spark, sf_dir)
+    base = scratch_path(spark, "stream-native")
+    cut = tables.hours_after_origin(F.lit(tables.STOCK_SECOND_CHECK_HOURS))
+    read = spark.readStream
+    for slab in range(2):
+        of = lambda c: F.col(c) < cut if slab == 0 else F.col(c) >= cut  # noqa: E731, B023
+        lines.where(of("created_at")).write.parquet(f"{base}/lines/slab={slab}")
+        stock.where(of("arrived_at")).write.parquet(f"{base}/stock/slab={slab}")
+        NV.run_native(
+            read.schema(lines.schema).parquet(f"{base}/lines/slab=*"),
+            read.schema(stock.schema).parquet(f"{base}/stock/slab=*"),
+            f"{base}/out", f"{base}/state", f"{base}/checkpoint", DAYS,
+        ).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(
+        *KEYS, "branch", ms("event_at"), "order_id", "line_no", ms("stock_checked_at"),
+        "current_quantity", "day", "slice", "quantity",
+    )
+
+
 _SINK_SELECT = f"{_STOCK_KEY_SQL} AS key, store, product, current_quantity, day, slice, quantity"
 
 
