@@ -190,10 +190,10 @@ def firsts_of(part: Weighed, lane: list[str] | None = None) -> Weighed:
     )
 
 
-def folded(lines: DataFrame, order: list[str] | None = None, parts: int | None = None) -> list[Weighed]:
+def folded(lines: DataFrame, order: list[str] | None = None, parts: int | None = None, keys: list[str] = KEYS) -> list[Weighed]:
     """The lines the fold can place, by the weight of their key, with their spans."""
     order = order or LINE_ORDER
-    return [spans_of(p, order) for p in weighed(lines.where(complete_line(order)), KEYS, order, parts)]
+    return [spans_of(p, order) for p in weighed(lines.where(complete_line(order)), keys, order, parts)]
 
 
 def annotate_spans(lines: DataFrame, order: list[str] | None = None, parts: int | None = None) -> DataFrame:
@@ -269,6 +269,19 @@ def order_table_changelog(lines: DataFrame, order: list[str] | None = None, part
     )
 
 
+def merged_tables(lines: DataFrame, side: Column, order: list[str] | None = None, parts: int | None = None) -> DataFrame:
+    """``merge_order_rows`` of the two order tables that one set of lines makes, by its
+    ``side`` (0: the first, 1: the second): one fold over (side, key)."""
+    keys, found = [*KEYS, "side"], []
+    for part in folded(lines.withColumn("side", side.cast("int")), order, parts, keys):
+        live = last_empty_of(part).rows.where(F.col("rn") > F.col("last_empty"))
+        found.append(live.groupBy(*keys, *INFO_FIELDS).agg(F.min("rn").alias("rn")))
+    first = F.min("side").over(Window.partitionBy(*KEYS)) == 0  # the merge is driven by the first
+    both = joined(found).withColumn("first", first).where("first")
+    place = F.min(F.struct("side", "rn")).alias("place")
+    return both.groupBy(*KEYS, *INFO_FIELDS).agg(place).select(*KEYS, *INFO_FIELDS, "place.side", "place.rn")
+
+
 def merge_order_rows(first: DataFrame, second: DataFrame) -> DataFrame:
     """Flat form of merging two order records per key: the first's infos, then
     the second's, repeats dropped. Only keys of the first take part (a missing

@@ -171,9 +171,7 @@ def merge_orders(spark, sf_dir):
     table's infos then the second's, without repeats, with their place in that
     list; keys only in the second table stay out (the merge is driven by the first)."""
     lines, _ = _inputs(spark, sf_dir)
-    first = O.order_table_rows(lines.where(F.col("order_id") % 2 == 0), with_rank=True)
-    second = O.order_table_rows(lines.where(F.col("order_id") % 2 == 1), with_rank=True)
-    merged = O.merge_order_rows(first, second)
+    merged = O.merged_tables(lines, F.col("order_id") % 2)
     return merged.select(*KEYS, *info_flat(), "side", "rn")
 
 
@@ -813,29 +811,142 @@ def stream_projection(spark, sf_dir):
     )
 
 
-@register("stream_projection_native", Q.with_(*_REPLAY_CTES) + "SELECT * FROM on_stock UNION ALL SELECT * FROM on_order")
-def stream_projection_native(spark, sf_dir):
-    """The service as micro-batches of the batch replay, in two runs that share state: the
-    events up to the second check's time, then the rest; must equal the whole replay."""
-    lines, stock = _inputs(spark, sf_dir)
-    base = scratch_path(spark, "stream-native")
+def _two_runs(spark, lines, stock, name, start):
+    """Runs a stream twice over its inputs: up to the second checks' time, then the rest.
+    ``start(base, line stream, check stream)`` gives the query."""
+    base, read = scratch_path(spark, name), spark.readStream
     cut = tables.hours_after_origin(F.lit(tables.STOCK_SECOND_CHECK_HOURS))
-    read = spark.readStream
     for slab in range(2):
         of = lambda c: F.col(c) < cut if slab == 0 else F.col(c) >= cut  # noqa: E731, B023
         lines.where(of("created_at")).write.parquet(f"{base}/lines/slab={slab}")
         stock.where(of("arrived_at")).write.parquet(f"{base}/stock/slab={slab}")
-        NV.run_native(
-            read.schema(lines.schema).parquet(f"{base}/lines/slab=*"),
-            read.schema(stock.schema).parquet(f"{base}/stock/slab=*"),
-            f"{base}/out", f"{base}/state", f"{base}/checkpoint", DAYS,
-        ).awaitTermination()
+        start(base, read.schema(lines.schema).parquet(f"{base}/lines/slab=*"), read.schema(stock.schema).parquet(f"{base}/stock/slab=*")).awaitTermination()
+    return base
+
+
+@register("stream_projection_native", Q.with_(*_REPLAY_CTES) + "SELECT * FROM on_stock UNION ALL SELECT * FROM on_order")
+def stream_projection_native(spark, sf_dir):
+    """The service as micro-batches of the batch replay, in two runs that share state: the
+    events up to the second check's time, then the rest; must equal the whole replay."""
+    lines, stock = _inputs(spark, sf_dir)
+    start = lambda base, l, c: NV.run_native(l, c, f"{base}/out", f"{base}/state", f"{base}/checkpoint", DAYS)
+    base = _two_runs(spark, lines, stock, "stream-native", start)
     return spark.read.parquet(f"{base}/out").select(
         *KEYS, "branch", ms("event_at"), "order_id", "line_no", ms("stock_checked_at"),
         "current_quantity", "day", "slice", "quantity",
     )
 
 
+_EARLY = f"early AS (SELECT * FROM lines WHERE created_at < {Q.ORIGIN} + INTERVAL '{tables.STOCK_SECOND_CHECK_HOURS}' HOUR)"
+
+
+@register(
+    "state_changes",
+    Q.with_(Q.LINES, _EARLY, Q.fold_states("early", "fe"), Q.live_infos("fe", "le"), Q.fold_states("lines", "f"), Q.live_infos("f", "live"))
+    + f"""SELECT *, 'removed' AS change FROM (SELECT store, product, {INFO_FLAT_SQL} FROM le EXCEPT SELECT store, product, {INFO_FLAT_SQL} FROM live)
+UNION ALL SELECT *, 'added' FROM (SELECT store, product, {INFO_FLAT_SQL} FROM live EXCEPT SELECT store, product, {INFO_FLAT_SQL} FROM le)""",
+)
+def state_changes(spark, sf_dir):
+    """What changed in the running service's order table between two of its batches, which a
+    restart stands between: two versions of its state, read as tables."""
+    lines, stock = _inputs(spark, sf_dir)
+    start = lambda base, l, c: SV.run(SV.projection_stream(l, c, DAYS), f"{base}/out", f"{base}/checkpoint")
+    base = _two_runs(spark, lines, stock, "state-changes", start)
+    return SV.state_changes(spark, f"{base}/checkpoint", 0, 1).select(*KEYS, *info_flat(), "change")
+
+
+@register(
+    "state_stock_table",
+    Q.with_(Q.STOCK, Q.STOCK_TABLE) + "SELECT store, product, epoch_ms(checked_at) AS checked_at_ms, quantity FROM stock_table",
+)
+def state_stock_table(spark, sf_dir):
+    """The running service's stock table, read from its state after a restart."""
+    lines, stock = _inputs(spark, sf_dir)
+    start = lambda base, l, c: SV.run(SV.projection_stream(l, c, DAYS), f"{base}/out", f"{base}/checkpoint")
+    base = _two_runs(spark, lines, stock, "state-stock", start)
+    return SV.state_table(spark, f"{base}/checkpoint", "stock-table").select(*KEYS, ms("checked_at"), "quantity")
+
+
+_EVENT_SQL = "store, product, branch, event_at_ms, order_id, line_no, stock_checked_at_ms, current_quantity, quantity AS last_quantity"
+
+
+@register(
+    "fan_out_folders",
+    Q.with_(*_REPLAY_CTES)
+    + f""", sent AS (SELECT * FROM on_stock UNION ALL SELECT * FROM on_order),
+closing AS (SELECT {_EVENT_SQL} FROM sent WHERE day = {DAYS} AND slice = 'B')
+SELECT 'all' AS folder, * FROM closing UNION ALL SELECT branch, * FROM closing""",
+)
+def fan_out_folders(spark, sf_dir):
+    """One stream written to three folders over a restart: all projections, and each branch's."""
+    lines, stock = _inputs(spark, sf_dir)
+    folders = ["all", R.ON_STOCK, R.ON_ORDER]
+
+    def start(base, line_stream, checks):
+        write = SV.fan_out({f: f"{base}/{f}" for f in folders})
+        SV.keyed_state(spark)
+        stream = SV.projection_stream(line_stream, checks, DAYS).writeStream.foreachBatch(write)
+        return stream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+
+    base = _two_runs(spark, lines, stock, "fan-out", start)
+    out = [spark.read.parquet(f"{base}/{f}").drop("batch_id").withColumn("folder", F.lit(f)) for f in folders]
+    whole = out[0].unionByName(out[1]).unionByName(out[2])
+    return whole.select(
+        "folder", *KEYS, "branch", ms("event_at"), "order_id", "line_no", ms("stock_checked_at"), F.col("projection.current_quantity").alias("current_quantity"),
+        F.element_at("projection.lines", -1)["quantity"].alias("last_quantity"),
+    )
+
+
+#: The polling fixture's micro-batches: instants at which one ends (hours).
+POLLS = [200, 400, 600]
+
+
+@register("service_polling", Q.with_(*_REPLAY_CTES) + "SELECT * FROM on_stock UNION ALL SELECT * FROM on_order")
+def service_polling(spark, sf_dir):
+    """The service polling for input every second, a file of each input a micro-batch, until
+    all is taken; then stopped cleanly."""
+    lines, stock = _inputs(spark, sf_dir)
+    base = scratch_path(spark, "service-polling")
+    edges = [tables.hours_after_origin(F.lit(h)) for h in POLLS]
+    for i in range(len(POLLS) + 1):  # a micro-batch's input is one file a topic
+        for df, at, name in ((lines, "created_at", "lines"), (stock, "arrived_at", "stock")):
+            inside = F.lit(True) if i == 0 else F.col(at) >= edges[i - 1]
+            inside = inside & (F.lit(True) if i == len(POLLS) else F.col(at) < edges[i])
+            df.where(inside).coalesce(1).write.parquet(f"{base}/{name}/slab={i}")
+    read = lambda df, name: spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/{name}/slab=*")
+    proj = SV.projection_stream(read(lines, "lines"), read(stock, "stock"), DAYS)
+    query = SV.run(proj, f"{base}/out", f"{base}/checkpoint", trigger={"processingTime": "1 second"})
+    query.processAllAvailable()
+    query.stop()
+    return SV.flat_lines(spark.read.parquet(f"{base}/out")).select(
+        *KEYS, "branch", ms("event_at"), "order_id", "line_no", ms("stock_checked_at"),
+        "current_quantity", "day", "slice", "quantity",
+    )
+
+
+@register("stream_after_replay", Q.with_(*_REPLAY_CTES) + "SELECT * FROM on_stock UNION ALL SELECT * FROM on_order")
+def stream_after_replay(spark, sf_dir):
+    """Hand-over: the batch replay up to an instant, then the stream from the tables as they
+    stood there; together the whole replay."""
+    lines, stock = _inputs(spark, sf_dir)
+    base, read = scratch_path(spark, "hand-over"), spark.readStream
+    cut = tables.hours_after_origin(F.lit(tables.STOCK_SECOND_CHECK_HOURS))
+    early, old = lines.where(F.col("created_at") < cut), stock.where(F.col("arrived_at") < cut)
+    state = NV.State(spark, f"{base}/state", lines.schema)
+    state.seed(O.order_table_rows(early), S.stock_table(old))
+    lines.where(F.col("created_at") >= cut).write.parquet(f"{base}/lines")
+    stock.where(F.col("arrived_at") >= cut).write.parquet(f"{base}/stock")
+    NV.run_native(
+        read.schema(lines.schema).parquet(f"{base}/lines"), read.schema(stock.schema).parquet(f"{base}/stock"),
+        f"{base}/out", f"{base}/state", f"{base}/checkpoint", DAYS, seeded=True,
+    ).awaitTermination()
+    streamed = spark.read.parquet(f"{base}/out").drop("batch_id")
+    return R.replay_projections(early, old, DAYS).unionByName(streamed).select(
+        *KEYS, "branch", ms("event_at"), "order_id", "line_no", ms("stock_checked_at"),
+        "current_quantity", "day", "slice", "quantity",
+    )
+
+
 _SINK_SELECT = f"{_STOCK_KEY_SQL} AS key, store, product, current_quantity, day, slice, quantity"
 
 
