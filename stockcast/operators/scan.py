@@ -27,7 +27,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from stockcast.session import materialize
+from stockcast.session import materialize, plain_unions
 
 #: A key with fewer rows is never worth cutting.
 LEAST_CHUNK = 1 << 16
@@ -108,6 +108,7 @@ def weighed(df: DataFrame, keys: list[str], order: list[str], parts: int | None
     all rows (of ``parts`` tasks, the shuffle partitions unless given), but no
     fewer than ``LEAST_CHUNK`` unless ``parts`` is given.
     """
+    plain_unions(df.sparkSession)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total, most = counts.agg(F.sum("_n"), F.max("_n")).first()
     if chunk_rows is None:

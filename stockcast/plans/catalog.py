@@ -837,6 +837,18 @@ def stream_projection_native(spark, sf_dir):
     )
 
 
+@register("stream_projection_maps", Q.with_(*_REPLAY_CTES) + "SELECT * FROM on_stock UNION ALL SELECT * FROM on_order")
+def stream_projection_maps(spark, sf_dir):
+    """The service with the order table as map state read by key, over a restart."""
+    lines, stock = _inputs(spark, sf_dir)
+    start = lambda base, l, c: SV.run(SV.projection_stream(l, c, DAYS, maps=True), f"{base}/out", f"{base}/checkpoint")
+    base = _two_runs(spark, lines, stock, "stream-maps", start)
+    return SV.flat_lines(spark.read.parquet(f"{base}/out")).select(
+        *KEYS, "branch", ms("event_at"), "order_id", "line_no", ms("stock_checked_at"),
+        "current_quantity", "day", "slice", "quantity",
+    )
+
+
 _EARLY = f"early AS (SELECT * FROM lines WHERE created_at < {Q.ORIGIN} + INTERVAL '{tables.STOCK_SECOND_CHECK_HOURS}' HOUR)"
 
 

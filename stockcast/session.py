@@ -45,6 +45,15 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", SESSION_ZONE)
 
 
+def plain_unions(spark: SparkSession) -> None:
+    """Unions forget how their inputs are partitioned, as they did before Spark 4.1.
+
+    With 4.1.2's default, a union of two unions of equally partitioned tables (such as
+    the two differences of two order tables) gave wrong rows: groups were
+    taken for co-located that were not (``tests/test_state.py``)."""
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
