@@ -36,7 +36,17 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL = re.compile(r"[^\s<>\"'`|\\^{}]+")
-_IBAN = re.compile(r"[\s:#.]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
+# a cue, then at most three words, before an account number's country and check digits
+_IBAN = re.compile(r"[\s:#.]{0,4}(?:[A-Za-z]{1,12}[\s:#.]{1,4}){0,3}?([A-Z]{2})[0-9]{2}")
+# The length of an international account number by its country.
+IBAN_LENGTHS = dict(
+    AD=24, AE=23, AL=28, AT=20, AZ=28, BA=20, BE=16, BG=22, BH=22, BR=29, BY=28, CH=21, CR=22, CY=28, CZ=24, DE=22, DK=18, DO=28,
+    EE=20, EG=29, ES=24, FI=18, FO=18, FR=27, GB=22, GE=22, GI=23, GL=18, GR=27, GT=28, HR=21, HU=28, IE=22, IL=23, IQ=23, IS=26,
+    IT=27, JO=30, KW=30, KZ=20, LB=28, LC=32, LI=21, LT=20, LU=20, LV=21, MC=27, MD=24, ME=22, MK=19, MR=27, MT=31, MU=30, NL=18,
+    NO=15, PK=24, PL=28, PS=29, PT=25, QA=29, RO=24, RS=22, SA=24, SC=31, SE=24, SI=19, SK=24, SM=27, ST=25, SV=28, TL=23, TN=24,
+    TR=26, UA=29, VA=22, VG=24, XK=20,
+)
+_UPPER = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 _SSN = re.compile(r"[\s:#.]{0,4}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])")
 _CUES = {"iban": ("IBAN", "iban", "Iban", "account", "Account"), "ssn": ("SSN", "ssn", "social security number", "Social Security Number")}
 _SCHEMES = ("http://", "https://", "ftp://")
@@ -102,6 +112,26 @@ def _octet(part: str) -> bool:
     return len(part) < 3 or len(part) == 3 and int(part) <= 255
 
 
+def _iban(text: str, at: int) -> Span | None:
+    """The account number after a cue that ends before ``at``: as many characters as its
+    country fixes, single spaces between them, with the right remainder."""
+    m = _IBAN.match(text, at)
+    left = m and IBAN_LENGTHS.get(m.group(1))
+    if not left:
+        return None
+    start = end = m.start(1)
+    plain = ""
+    while left and end < len(text):
+        if text[end] in _UPPER:
+            plain, left = plain + text[end], left - 1
+        elif text[end] != " " or text[end - 1] == " ":
+            return None
+        end += 1
+    if left or (end < len(text) and text[end].isalnum()):
+        return None
+    return (start, end) if int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1 else None
+
+
 def find(text: str) -> dict[str, list[Span]]:
     """The spans of each kind, in order."""
     out: dict[str, list[Span]] = {k: [] for k in KINDS}
@@ -125,12 +155,7 @@ def find(text: str) -> dict[str, list[Span]]:
                 url_end = at + 1 + len(m.group().rstrip(".,;:!?)]"))
                 if url_end > at + 1:
                     out["url"].append((start, url_end))
-        elif m := (_IBAN if anchor == "iban" else _SSN).match(text, at + 1):
-            span = m.span(1)
-            if anchor == "iban":
-                plain = m.group(1).replace(" ", "")
-                if int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 != 1:
-                    continue
+        elif span := _iban(text, at + 1) if anchor == "iban" else (m := _SSN.match(text, at + 1)) and m.span(1):
             if not out[anchor] or out[anchor][-1][1] <= span[0]:
                 out[anchor].append(span)
     if digits:

@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from stockcast.llm import components as C
@@ -39,10 +40,9 @@ def graphs():
 
 
 @pytest.mark.parametrize("name", graphs())
-@pytest.mark.parametrize("at_once,held", [(1 << 18, 1 << 20), (40, 30)])
-def test_components(spark, monkeypatch, name, at_once, held):
+@pytest.mark.parametrize("at_once", [1 << 18, 40])
+def test_components(spark, monkeypatch, name, at_once):
     monkeypatch.setattr(C, "AT_ONCE", at_once)
-    monkeypatch.setattr(C, "HELD", held)
     edges = graphs()[name]
     got = C.components(spark.createDataFrame(edges, "a long, b long").repartition(11)).collect()
     assert len(got) == len({r.node for r in got}) and {r.node: r.component for r in got} == joined(edges)
@@ -56,6 +56,15 @@ def test_thinned_edges_are_bounded_by_nodes(spark):
     assert C.thinned(frame).count() <= 4 * 899
 
 
+def test_a_large_forest_is_given_out_in_pieces(monkeypatch):
+    monkeypatch.setattr(C, "HELD", 50)
+    rng = random.Random(3)
+    edges = [(rng.randrange(1 << 18), rng.randrange(1 << 18)) for _ in range(200_000)]
+    batches = [pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in edges[k : k + 20_000]]) for k in range(0, 200_000, 20_000)]
+    out = [(r["a"], r["b"]) for batch in C._stars(batches) for r in batch.to_pylist()]
+    assert joined(out) == {x: c for x, c in joined(edges).items()}
+
+
 def test_spread_join_of_a_hot_key(spark):
     rows = spark.range(5000).selectExpr("id", "if(id % 3 = 0, null, id % 2) AS k")
     table = spark.createDataFrame([(1, "one"), (7, "seven")], "k long, name string")

@@ -200,6 +200,17 @@ def test_pii_own_kinds():
     found = pii.find(text)
     assert [text[a:b] for a, b in found["url"]] == ["https://a.example/x?y=1"]
     assert [text[a:b] for a, b in found["iban"]] == ["GB82 WEST 1234 5698 7654 32"]
+    for line, number in (
+        ("IBAN ES91 2100 0418 4502 0005 1332 BIC ABCD", "ES91 2100 0418 4502 0005 1332"),
+        ("my IBAN is GB82 WEST 1234 5698 7654 32.", "GB82 WEST 1234 5698 7654 32"),
+        ("account number now DE89370400440532013000", "DE89370400440532013000"),
+        ("IBAN ES91 2100 0418 4502 0005 1333", None),
+        ("IBAN ES91 2100 0418 4502 0005 13321", None),
+        ("IBAN ES91  2100 0418 4502 0005 1332", None),
+        ("IBAN ZZ91 2100 0418 4502 0005 1332", None),
+        ("IBAN GB82", None),
+    ):
+        assert [line[a:b] for a, b in pii.find(line)["iban"]] == ([number] if number else []), line
     assert [text[a:b] for a, b in found["ssn"]] == ["123-45-6789"]
 
 
