@@ -1,4 +1,4 @@
-"""Exact dedup: tree merge of sorted digest runs, in DataFrame operations only.
+"""Exact dedup: tree merge of digest runs, in DataFrame operations only.
 
 Texts are equal when identical after replacing each run of white space by one
 space. Every row becomes a digest (SHA-256 of the normalised text, verified by
@@ -7,7 +7,8 @@ key). The rows are dealt into ``RUNS`` runs by their id; each round merges
 ``FAN`` runs into one: equal digests of neighbouring runs meet, and the
 smallest identifier and the count survive. A group of copies of any size so
 reaches a merge as at most one entry a run and round, combined map-side before
-it moves. The winners then go back down the same tree to the rows, so no join
+it moves. The runs are groups, not sorted files, and merge ``FAN`` at a time, not in
+pairs: the README names this departure. The winners then go back down the same tree to the rows, so no join
 key holds more than one run's share of a group.
 
 Edge cases: null text counts as empty. Of rows that repeat the same id and
