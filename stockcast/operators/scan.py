@@ -31,6 +31,9 @@ from stockcast.session import materialize, plain_unions
 
 #: A key with fewer rows is never worth cutting.
 LEAST_CHUNK = 1 << 16
+#: Rows of a task after the exchange, whatever the number of rows: more rows make more
+#: tasks. Up to the number of partitions, tasks may hold fewer, but ``FEW_ROWS`` at least.
+TASK_ROWS, FEW_ROWS = 1 << 17, 1 << 13
 #: Sampled rows of a heavy key a chunk.
 SAMPLED = 64
 
@@ -105,32 +108,38 @@ def weighed(df: DataFrame, keys: list[str], order: list[str], parts: int | None
     ones. The cuts follow ``order``, nulls first.
 
     A key is heavy with more than ``chunk_rows`` rows; by default a task's share of
-    all rows (of ``parts`` tasks, the shuffle partitions unless given), but no
-    fewer than ``LEAST_CHUNK`` unless ``parts`` is given.
+    all rows (of ``parts`` tasks; unless given the shuffle partitions, or more, of
+    ``TASK_ROWS`` rows), but no fewer than ``LEAST_CHUNK`` unless ``parts`` is given.
+    The exchange has a fixed number of tasks: coalesced by their compressed
+    size, as Spark would, their rows and so their memory grow with the table.
     """
     plain_unions(df.sparkSession)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total, most = counts.agg(F.sum("_n"), F.max("_n")).first()
+    total = total or 0
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # what one task may hold is left to Spark to deal
+    tasks = max(-(-total // TASK_ROWS), min(usual, total // FEW_ROWS)) if total > TASK_ROWS else 0
     if chunk_rows is None:
         least = 1 if parts else LEAST_CHUNK
-        parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        chunk_rows = max(least, -(-(total or 0) // parts))
+        parts = parts or max(usual, tasks)
+        chunk_rows = max(least, -(-total // parts))
     if not total or most <= chunk_rows:
-        return [_dealt(df.withColumn("chunk", F.lit(0)), keys, False)]
+        return [_dealt(df.withColumn("chunk", F.lit(0)), keys, False, tasks)]
     cuts = materialize(_cuts(df, keys, order, counts.where(F.col("_n") > chunk_rows), chunk_rows))
     held = df.join(F.broadcast(cuts), keys, "left").withColumn("chunk", _chunk(F.struct(*order)))
     whole, heavy = held.where(F.col("_cuts").isNull()), held.where(F.col("_cuts").isNotNull())
     drop = ("_cuts", "_coarse", "_step")
     return [
-        _dealt(whole.drop(*drop).withColumn("chunk", F.lit(0)), keys, False),
-        _dealt(heavy.drop(*drop), keys, True),
+        _dealt(whole.drop(*drop).withColumn("chunk", F.lit(0)), keys, False, tasks),
+        _dealt(heavy.drop(*drop), keys, True, tasks),
     ]
 
 
-def _dealt(rows: DataFrame, keys: list[str], cut: bool) -> Weighed:
+def _dealt(rows: DataFrame, keys: list[str], cut: bool, tasks: int) -> Weighed:
     """The one exchange, by the coarsest of the groupings that follow."""
     part = Weighed(rows, tuple(keys), cut)
-    return part.with_rows(rows.repartition(*part.by()))
+    return part.with_rows(rows.repartition(*([tasks] if tasks else []), *part.by()))
 
 
 def _cuts(df: DataFrame, keys: list[str], order: list[str], heavy: DataFrame, chunk_rows: int) -> DataFrame:

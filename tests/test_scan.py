@@ -130,3 +130,25 @@ def test_entry_lists_the_core_queries_without_the_other_packages():
     )
     done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=HOME)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_more_rows_make_more_tasks(spark, monkeypatch):
+    from stockcast.operators import scan
+
+    monkeypatch.setattr(scan, "TASK_ROWS", 1000)
+    monkeypatch.setattr(scan, "LEAST_CHUNK", 100_000)
+    for n in (10_000, 40_000):
+        rows = spark.range(n).select(F.col("id").alias("k"), F.col("id").alias("at"))
+        (part,) = scan.weighed(rows, ["k"], ["at"])
+        assert part.rows.rdd.getNumPartitions() == n // 1000  # AQE would coalesce them by size
+        assert part.rows.count() == n
+
+
+def test_checks_are_made_by_more_tasks(spark, monkeypatch, tmp_path):
+    spark.range(1000).selectExpr("id AS p_partkey", "CAST(id % 50 AS INT) AS p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(i, f"r{i}") for i in range(5)], "r_regionkey int, r_name string").write.parquet(str(tmp_path / "region.parquet"))
+    plain = tables.stock(spark, str(tmp_path))
+    monkeypatch.setattr(tables, "PARTS_A_TASK", 100)
+    dealt = tables.stock(spark, str(tmp_path))
+    assert dealt.rdd.getNumPartitions() == 10
+    assert dealt.count() == plain.count() == 10_000 and dealt.exceptAll(plain).isEmpty()
