@@ -902,13 +902,13 @@ def fan_out_folders(spark, sf_dir):
     folders = ["all", R.ON_STOCK, R.ON_ORDER]
 
     def start(base, line_stream, checks):
-        write = SV.fan_out({f: f"{base}/{f}" for f in folders})
+        write = SV.fan_out({f: f"{base}/out/{f}" for f in folders})
         SV.keyed_state(spark)
         stream = SV.projection_stream(line_stream, checks, DAYS).writeStream.foreachBatch(write)
         return stream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
 
     base = _two_runs(spark, lines, stock, "fan-out", start)
-    out = [spark.read.parquet(f"{base}/{f}").drop("batch_id").withColumn("folder", F.lit(f)) for f in folders]
+    out = [spark.read.parquet(f"{base}/out/{f}").drop("batch_id").withColumn("folder", F.lit(f)) for f in folders]
     whole = out[0].unionByName(out[1]).unionByName(out[2])
     return whole.select(
         "folder", *KEYS, "branch", ms("event_at"), "order_id", "line_no", ms("stock_checked_at"), F.col("projection.current_quantity").alias("current_quantity"),
